@@ -121,11 +121,14 @@ def json_tax_bookings(
     )
 
 
-def json_bookings(segments: DataFrame, headers: DataFrame, raw_segments: DataFrame) -> DataFrame:
+def json_bookings(
+    segments: DataFrame, headers: DataFrame, raw_segments: DataFrame, source_run: str | None = None
+) -> DataFrame:
     """Segments with their header and the raw segments of the aggregates they list.
 
     Raw segments are found with the aggregate id as part of the join key, then attached
-    to the segment they belong to.  Segments without any stay once.
+    to the segment they belong to.  Segments without any stay once.  ``source_run`` names
+    an extra column with the run, which is also set where a segment has no header.
     """
     row_id = ["bseg_booking_execution_id", "position"]
     raw = raw_segments.select(
@@ -158,7 +161,10 @@ def json_bookings(segments: DataFrame, headers: DataFrame, raw_segments: DataFra
         "left",
     )
     renamed = joined.withColumnRenamed("wrbed", "wrbed_total").withColumn("booking_src", F.lit("bbseg"))
-    return conform(renamed, BOOKING_COLUMNS)
+    if source_run is None:
+        return conform(renamed, BOOKING_COLUMNS)
+    renamed = renamed.withColumn(source_run, F.col("bseg_booking_execution_id"))
+    return conform(renamed, BOOKING_COLUMNS | {source_run: "bigint"})
 
 
 def ledger_from_documents(vault, lookups: ClientLookups, documents: DataFrame | None = None) -> Ledger:

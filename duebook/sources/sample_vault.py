@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duebook.session import materialize
 from duebook.sources.vault import Vault, schema_of
 
 RAW_TABLES = ["customer", "orders", "lineitem", "events"]
@@ -396,11 +397,21 @@ def booking_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_STORED: dict[tuple[str, str], Vault] = {}
+
+
 def sample_vault(spark: SparkSession, folder: str) -> Vault:
-    """The vault derived from the generated tables in ``folder``."""
+    """The vault derived from the generated tables in ``folder``.
+
+    Like the tables of a real vault, each derived table exists once: it is stored on
+    first use and then read by every query of the application.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STORED:
+        _STORED[key] = Vault(spark, lambda table: materialize(derived_table(spark, folder, table)))
+    return _STORED[key]
 
-    def read(table: str) -> DataFrame:
-        df = booking_runs(spark, folder) if table == "booking_runs" else _derive(spark, folder, table)
-        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema_of(table).fields])
 
-    return Vault(spark, read)
+def derived_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    df = booking_runs(spark, folder) if table == "booking_runs" else _derive(spark, folder, table)
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema_of(table).fields])
