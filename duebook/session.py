@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -30,7 +31,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
-        .config("spark.driver.memory", "12g")
+        .config("spark.driver.memory", os.environ.get("DUEBOOK_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     )
