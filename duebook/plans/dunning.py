@@ -90,13 +90,14 @@ def dunning_state(merged: DataFrame, dunning_claims: DataFrame, claims: DataFram
     )
 
 
+SOURCES = ["case_receivables", "dunning_claims", "dunning_locks", "claims"]
+
+
 def dunning(vault, as_of: dt.date) -> DataFrame:
-    """Dunning state; empty where a dunning source is missing or holds no case."""
+    """Dunning state; empty where a dunning source is missing or there is no case at all."""
     cases = latest_case(vault.optional("case_receivables"))
-    # without any case the list stays empty, locks alone do not count
     locks = active_locks(vault.optional("dunning_locks"), as_of)
-    if vault.optional("case_receivables").isEmpty():
-        locks = locks.filter(F.lit(False))
-    return dunning_state(
-        case_lock_merge(cases, locks), vault.optional("dunning_claims"), vault.optional("claims")
-    )
+    merged = case_lock_merge(cases, locks)
+    if not all(vault.has(table) for table in SOURCES) or vault["case_receivables"].isEmpty():
+        merged = merged.filter(F.lit(False))
+    return dunning_state(merged, vault.optional("dunning_claims"), vault.optional("claims"))

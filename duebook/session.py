@@ -19,6 +19,10 @@ RECOMMENDED = {
 }
 
 
+# folders of local sessions, removed when the process ends
+_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the recommended SQL settings to an existing session."""
     for key, value in RECOMMENDED.items():
@@ -53,7 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="duebook-checkpoint-")
+            _LOCAL_FOLDERS.append(tempfile.TemporaryDirectory(prefix="duebook-checkpoint-"))
+            folder = _LOCAL_FOLDERS[-1].name
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

@@ -54,7 +54,7 @@ LEDGER_ROWS: dict[str, str] = {
     concat('F', cast(o_orderkey % 7 as string)) as aufnr,
     concat('A', cast(o_orderkey as string)) as agg_1,
     case when o_orderkey % 6 = 0 then null else concat('A', cast(o_orderkey + 1 as string)) end as agg_2
-  from {{orders}} cross join (select '40' as bs union all select '50' as bs) sides""",
+  from {{orders}} join (select '40' as bs union all select '50' as bs) sides on true""",
     "ledger_headers": f"""
   select o_orderkey as run_id, concat({_PREFIX}, cast(o_orderkey as string)) as xblnr, 'ED' as ba, '100' as bukrs,
     cast(o_orderdate + interval 8462 days as date) as budat, cast(o_orderdate + interval 8461 days as date) as beldat

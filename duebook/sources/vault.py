@@ -116,12 +116,16 @@ class Vault(Mapping):
     def __len__(self) -> int:
         return len(SCHEMAS)
 
-    def optional(self, table: str) -> DataFrame:
-        """The table, or an empty one of the right type where the source is missing."""
+    def has(self, table: str) -> bool:
         try:
-            return self[table]
+            self[table]
         except (AnalysisException, KeyError):
-            return self.spark.createDataFrame([], schema_of(table))
+            return False
+        return True
+
+    def optional(self, table: str) -> DataFrame:
+        """The table, or an empty one of the right type where the source is missing."""
+        return self[table] if self.has(table) else self.spark.createDataFrame([], schema_of(table))
 
     def replacing(self, **tables: DataFrame) -> Vault:
         """The same vault with some tables exchanged."""
@@ -145,13 +149,15 @@ def from_jdbc(
 ) -> Vault:
     """Tables of a database.
 
-    ``names`` maps tables to their qualified names.  ``split`` holds the JDBC
+    ``names`` maps tables to their qualified names; tables it leaves out are missing
+    sources.  Without it every table has its own name.  ``split`` holds the JDBC
     partitioning options (partitionColumn, lowerBound, upperBound, numPartitions) of
     large tables, which otherwise arrive in a single task.
     """
 
     def read(table: str) -> DataFrame:
-        reader = spark.read.format("jdbc").options(**options).option("dbtable", (names or {}).get(table, table))
+        name = table if names is None else names[table]
+        reader = spark.read.format("jdbc").options(**options).option("dbtable", name)
         return to_schema(reader.options(**(split or {}).get(table, {})).load(), table)
 
     return Vault(spark, read)
