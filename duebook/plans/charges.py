@@ -1,9 +1,9 @@
 """Charges with account, dates, dunning, write-off and taxes.
 
-Join order: everything keyed by the charge first, then by the transaction, then one
-lookup of an account table that was put together beforehand.  Accounts are few next to
-charges, so joining login, hierarchy and dunning to the accounts saves four passes over
-the charges.
+Join order: everything keyed by the charge first, then note and account, then by the
+transaction, so that filling bill ids by transaction afterwards finds the rows already in
+place.  Accounts are few next to charges: login, hierarchy and dunning are joined to the
+accounts beforehand, which saves three passes over the charges.
 """
 
 from __future__ import annotations
@@ -88,19 +88,15 @@ def base_charges(
 ) -> DataFrame:
     """Charge rows with everything known about them.
 
-    ``account_rows`` is an ``account_table`` with dunning.  Per-charge and
-    per-transaction rows are reduced to the values used here before they are joined,
-    and the due dates of a whole transaction are attached only to the charges whose own
-    rule asks for them, so a large transaction does not multiply.
+    ``account_rows`` is an ``account_table`` with dunning.  Due dates of a whole
+    transaction are made distinct and attached only to the charges whose own rule asks
+    for them, so a large transaction does not multiply.  The result may hold equal rows;
+    ``charges`` removes them.
     """
     kept = charge.filter(local_date("datetimelastmodif") > day(FIRST_DAY_EXCLUDED))
-    by_charge = charge_due.select(F.col("charge_ouid").alias("dd_ouid"), F.col("due_date").alias("dd_due")).distinct()
-    by_status = (
-        charge_dates.filter(F.col("charge_ouid").isNotNull())
-        .select(
-            F.col("charge_ouid").alias("cb_ouid"), F.col("balance_date").alias("cb_balance"), F.col("due_date").alias("cb_due")
-        )
-        .distinct()
+    by_charge = charge_due.select(F.col("charge_ouid").alias("dd_ouid"), F.col("due_date").alias("dd_due"))
+    by_status = charge_dates.filter(F.col("charge_ouid").isNotNull()).select(
+        F.col("charge_ouid").alias("cb_ouid"), F.col("balance_date").alias("cb_balance"), F.col("due_date").alias("cb_due")
     )
     off = write_off_rows.filter(F.col("charge_ouid").isNotNull()).withColumnRenamed("charge_ouid", "off_ouid")
     per_charge = (
@@ -109,6 +105,12 @@ def base_charges(
         .join(off, F.col("ouid") == F.col("off_ouid"), "left")
     )
 
+    note = note_advice.select(F.col("ouid").alias("note_ouid"), F.col("id").alias("bill_id"))
+    with_note = lookup(per_charge, note, {"settlementnoteadviceouid": "note_ouid"}, spread_by="ouid")
+    with_account = lookup(
+        with_note, account_rows.withColumn("account_key", F.col("account_ouid")), {"billingaccountouid": "account_key"}, "ouid"
+    )
+
     by_transaction = charge_due.select(
         F.col("transactionid").alias("dd2_transaction"), F.col("due_date").alias("dd2_due")
     ).distinct()
@@ -116,15 +118,9 @@ def base_charges(
     balance = dates.select(
         F.col("transactionid").alias("tx"), F.col("balance_date").alias("tx_balance"), F.col("due_date").alias("tx_due")
     )
-    per_transaction = per_charge.join(
+    full = with_account.join(
         by_transaction, (F.col("transactionid") == F.col("dd2_transaction")) & asks, "left"
     ).join(balance, F.col("transactionid") == F.col("tx"), "left")
-
-    note = note_advice.select(F.col("ouid").alias("note_ouid"), F.col("id").alias("bill_id"))
-    with_note = lookup(per_transaction, note, {"settlementnoteadviceouid": "note_ouid"}, spread_by="ouid")
-    full = lookup(
-        with_note, account_rows.withColumn("account_key", F.col("account_ouid")), {"billingaccountouid": "account_key"}, "ouid"
-    )
     sign = charge_sign("glid")
     return full.select(
         F.col("ouid").alias("applied_billing_charge_ouid"),
