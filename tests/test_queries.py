@@ -4,8 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from duebook import checks
 from duebook.plans import build as b
 from duebook.sources.sample_vault import sample_vault
+from oracle import statements
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["customer", "orders", "lineitem", "part", "events"]
@@ -24,8 +26,9 @@ def engine():
     return connection
 
 
-def test_every_query_has_check_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_check_has_a_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(statements.all_statements()) == set(checks.registered())
 
 
 @pytest.mark.parametrize("name", CHECKED)
