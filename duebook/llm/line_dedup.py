@@ -98,7 +98,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: in
         .sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "text_hash", "position")
         .mapInArrow(_stream(min_documents), _STREAMED)
     )
-    # two summaries a partition at most
+    # two summaries a partition at most, so the broadcast is bounded
     borders = (
         streamed.filter(F.col("kind") == SUMMARY)
         .groupBy("h1", "h2")
@@ -106,7 +106,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: in
         .filter(F.col("documents") >= min_documents)
         .select("h1", "h2", "largest")
     )
-    waiting = streamed.filter(F.col("kind") == WAITING).join(borders, ["h1", "h2"]).filter(F.col("doc_id") < F.col("largest"))
+    waiting = streamed.filter(F.col("kind") == WAITING).join(F.broadcast(borders), ["h1", "h2"]).filter(F.col("doc_id") < F.col("largest"))
     rows = ["doc_id", "text_hash", "position"]
     return streamed.filter(F.col("kind") == DROPPED).select(*rows).unionByName(waiting.select(*rows))
 
