@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duebook.llm import chat_format, decontaminate, line_dedup, packing, token_codes
+from duebook.llm import chat_format, decontaminate, license_scan, line_dedup, packing, quality_rules, token_codes
 from duebook.llm.shared import ship
 
 MODULES = {
@@ -15,7 +15,9 @@ MODULES = {
     "op4_chat_format": chat_format,
     "op5_decontamination": decontaminate,
     "op6_packing": packing,
+    "op7_quality_rules": quality_rules,
     "op8_token_codes": token_codes,
+    "op10_license_scan": license_scan,
 }
 
 
