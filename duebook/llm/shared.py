@@ -79,44 +79,77 @@ def batches(rows: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iter
             yield batch.slice(start)
 
 
+# letters that no other character combines with under case folding or normalisation
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_NOT_LETTER = "(?=[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]|$)"
+
+
 class CachedEncoder:
-    """Token ids of whole texts by the ``tokenizers`` library, one encoding per distinct chunk.
+    """Token ids of whole texts by the ``tokenizers`` library, each distinct chunk encoded once.
 
     Both vocabularies used here never join characters across a single space or line feed
-    between two other characters, so a text can be cut there: a chunk is a run of
-    non-space characters with the one space before it, or a lone line feed.  Texts with other
-    or repeated white space go to the library whole.  ``tests/llm`` compares the ids with those
-    of the uncut text.  The cache is emptied when it holds ``limit`` chunks.
+    between two other characters, nor across the end of a run of letters before an ASCII
+    character that is no letter.  A text is cut there; chunks not seen before go to the
+    library in one call, joined by a ``separator`` that is always one token of its own.
+    Texts with other or repeated white space, or with a separator, go to the library whole.
+    ``tests/llm`` compares the ids with those of uncut texts.  Two generations of at most
+    ``limit`` chunks are kept; chunks in use move to the younger one.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.limit, self.cache = limit, {}
-        self.chunks = re.compile(r" ?[^ \n]+|\n").findall
-        self.odd = re.compile(r"[ \n][ \n]|[^\S \n]|^[ \n]|[ \n]$").search
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def __call__(self, text: str) -> bytes:
+        self.limit, self.young, self.old = limit, {}, {}
+        # a vocabulary that keeps white space has a token for the line feed
+        kept = self._ids("\n")
+        if len(kept) == 1:
+            self.separator, self.chunks = "\n", re.compile(f" ?[{_LETTERS}]+{_NOT_LETTER}| ?[^ \n]+|\n").findall
+        else:
+            self.separator, self.chunks = " \x01 ", re.compile(f"[{_LETTERS}]+{_NOT_LETTER}|[^ \n]+").findall
+            kept = self._ids("\x01")
+        (self.mark,) = kept
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _odd(self, text: str) -> bool:
+        """White space other than single spaces and line feeds inside the text, or a separator."""
+        if text[0] in " \n" or text[-1] in " \n" or not text.replace("\n", "").isprintable():
+            return True
+        return "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = [c for c in dict.fromkeys(chunks) if c not in young]
+        new = [c for c in missing if c not in old and c != "\n"]
+        young.update((c, old[c]) for c in missing if c in old)
+        if "\n" in missing:
+            young["\n"] = np.array([self.mark], "<u4").tobytes()
+        if new:
+            ids = self._ids(self.separator.join(new))
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
+            data, start = ids.tobytes(), 0
+            for chunk, end in zip(new, ends, strict=True):
+                young[chunk] = data[4 * start : 4 * end]
+                start = end + 1
+
+    def __call__(self, text: str | None) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if self.odd(text):
-            return self._encode([text])[0]
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        chunks, known = self.chunks(text), self.cache
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            new = list({c for c in chunks if c not in known})
-            known.update(zip(new, self._encode(new), strict=True))
-            return b"".join(map(known.__getitem__, chunks))
+        if self._odd(text):
+            return self._ids(text).tobytes()
+        chunks = self.chunks(text)
+        found = [*map(self.young.get, chunks)]
+        if None in found:
+            # the chunks of this text stay in the younger generation until it is done
+            self._learn(chunks)
+            found = [*map(self.young.__getitem__, chunks)]
+        return b"".join(found)
 
 
 @lru_cache(maxsize=4)
