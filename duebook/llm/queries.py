@@ -7,10 +7,12 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duebook.llm import chat_format, decontaminate, license_scan, line_dedup, packing, quality_rules, token_codes
+from duebook.llm import chat_format, decontaminate, html_text, language_id, license_scan, line_dedup, packing, quality_rules, token_codes
 from duebook.llm.shared import ship
 
 MODULES = {
+    "op1_language_id": language_id,
+    "op2_html_text": html_text,
     "op3_line_dedup": line_dedup,
     "op4_chat_format": chat_format,
     "op5_decontamination": decontaminate,
@@ -33,7 +35,9 @@ def with_package(query: Callable) -> Callable:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: with_package(module.query) for name, module in MODULES.items()}
+    found = {name: with_package(module.query) for name, module in MODULES.items()}
+    found["language_of_pages"] = with_package(language_id.query_pages)
+    return found
 
 
 def all_statements() -> dict[str, str]:
