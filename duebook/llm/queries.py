@@ -7,7 +7,18 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duebook.llm import chat_format, decontaminate, html_text, language_id, license_scan, line_dedup, packing, quality_rules, token_codes
+from duebook.llm import (
+    chat_format,
+    decontaminate,
+    html_text,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality_rules,
+    token_codes,
+)
 from duebook.llm.shared import ship
 
 MODULES = {
@@ -19,6 +30,7 @@ MODULES = {
     "op6_packing": packing,
     "op7_quality_rules": quality_rules,
     "op8_token_codes": token_codes,
+    "op9_ngram_join": ngram_join,
     "op10_license_scan": license_scan,
 }
 
