@@ -7,13 +7,16 @@
 2. A set that shares ``l`` shingles must do so within the first ``n - ceil(t n) + l`` shingles of
    both sets.  Each document takes the ``l`` from 1 to ``MAX_MATCHES`` for which its estimated
    cost, list entries read plus candidates verified, is least, and posts that prefix.
-3. Postings are grouped by shingle.  The first class of a shingle is its pivot; the others
+3. Postings are grouped by shingle and sorted by set size; a group is cut where the next size is
+   too large for the one before.  The first class of a stretch is its pivot; the others
    join the pivot's group.  Groups grow with the postings, not with their pairs.
-4. Classes are compared inside their pivot groups: candidates share ``min(l_a, l_b)``
-   prefix shingles and pass the length filter; each pair is verified by its whole sets, in one
-   of its groups only.  A large group is cut into blocks whose pairs are separate tasks' work.
-   A group returns a spanning forest of its links and link counts, never all its pairs.
-5. Components come from alternating large and small stars over the forest edges.
+4. Inside its groups a class brings a longer prefix first: for ``l = n // FRONT`` more matches, so
+   candidates share ``min(l_a, l_b)`` of those and pass the length filter.  Classes
+   without a candidate go no further.
+5. The others come with their whole sets, and each pair is verified in one of its groups only.
+   A large group is cut into blocks whose pairs are separate tasks' work.  A group
+   returns a spanning forest of its links and link counts, never all its pairs.
+6. Components come from alternating large and small stars over the forest edges.
 
 Shingles are compared by 64-bit hashes.
 
@@ -40,6 +43,7 @@ SKETCH_BITS = 18
 CHUNK = 4096
 MAX_MATCHES = 4
 VERIFY_COST = 4.0
+FRONT = 8
 BLOCK_SHINGLES = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -106,8 +110,8 @@ class Order:
         self.mask = np.uint64(len(sketch) - 1)
         self.percent = percent
 
-    def arrange(self, found: np.ndarray) -> tuple[np.ndarray, int, int]:
-        """(shingles in global order, required matches l, prefix length)."""
+    def arrange(self, found: np.ndarray, front: int | None = None) -> tuple[np.ndarray, int, int]:
+        """(shingles in global order, required matches l, prefix length); ``front``: l is n // front at least."""
         n = len(found)
         bucket = (found & self.mask).astype(np.int64)
         level = self.level[bucket]
@@ -122,6 +126,8 @@ class Order:
             cost = read[base + m - 1] + VERIFY_COST * read[base + m - 1] / m
             if best is None or cost < best:
                 best, matches = cost, m
+        if front:
+            matches = max(matches, min(needed, n // front + 1))
         return found, matches, base + matches
 
 
@@ -205,65 +211,75 @@ def _postings(order, words: int):
     return run
 
 
-def _pivots(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shingle and class: the first class of a shared shingle is the pivot of all."""
-    token, pivot, last, written = None, None, None, False
-    for batch in rows:
-        tokens = np.asarray(batch.column(0))
-        same = tokens[1:] == tokens[:-1]
-        # a shingle that stands alone needs no look, but for the ends of the batch
-        look = np.ones(len(tokens), bool)
-        look[1:-1] = same[:-1] | same[1:]
-        at = np.flatnonzero(look)
-        part = batch.take(pa.array(at))
-        out: list[tuple] = []
-        for t, c, n in zip(tokens[at].tolist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-            if t != token:
-                token, pivot, last, written = t, (c, n), c, False
-            elif c != last:
-                if not written:
-                    out.append((pivot[0], *pivot))
-                    written = True
-                out.append((pivot[0], c, n))
-                last = c
-        if out:
-            columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), [pa.binary(), pa.binary(), pa.int64()], strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["pivot", "class", "n"])
+def _pivots(percent: int):
+    """Rows sorted by shingle, size and class: the first class of a stretch is the pivot of all."""
 
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, pivot, last, size, written = None, None, None, 0, False
+        for batch in rows:
+            tokens = np.asarray(batch.column(0))
+            same = tokens[1:] == tokens[:-1]
+            # a shingle that stands alone needs no look, but for the ends of the batch
+            look = np.ones(len(tokens), bool)
+            look[1:-1] = same[:-1] | same[1:]
+            at = np.flatnonzero(look)
+            part = batch.take(pa.array(at))
+            out: list[tuple] = []
+            for t, c, n in zip(tokens[at].tolist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                if t != token or 100 * size < percent * n:
+                    token, pivot, last, written = t, (c, n), c, False
+                elif c != last:
+                    if not written:
+                        out.append((pivot[0], *pivot))
+                        written = True
+                    out.append((pivot[0], c, n))
+                    last = c
+                size = n
+            if out:
+                columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), [pa.binary(), pa.binary(), pa.int64()], strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["pivot", "class", "n"])
+
+    return run
 
-_GROUPED = "pivot binary, low int, high int, class binary, copies long, block int, matches int, prefix int, shingles binary, pivots array<binary>"
 
+_SETS = "class binary, copies long, groups array<struct<pivot:binary,blocks:int>>, n int, matches int, front binary, rest binary"
 
-def _members(order, words: int):
-    """The sets of candidate classes, once for each block pair of each of their groups."""
+
+def _sets(order, words: int):
+    """Size, longer prefix and rest of the set of each candidate class."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrange = order.value.arrange
-        names = [part.split()[0] for part in _GROUPED.split(", ")]
-        types = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())]
         for batch in rows:
-            out: list[tuple] = []
-            size = 0
-            for text, owner, copies, groups in zip(*[batch.column(i) for i in range(4)], strict=True):
-                found = shingles(text.as_py(), words)
-                owner, groups = owner.as_py(), groups.as_py()
-                ordered, matches, prefix = arrange(found)
-                data, pivots = ordered.tobytes(), sorted(g["pivot"] for g in groups)
-                for group in groups:
-                    blocks = group["blocks"]
-                    own = int.from_bytes(owner[:6], "little") % blocks
-                    for other in range(blocks):
-                        out.append((group["pivot"], min(own, other), max(own, other), owner, copies.as_py(), own, matches, prefix, data, pivots))
-                        size += len(data)
-                if size > 16_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-                    out, size = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                made = [arrange(shingles(text.as_py(), words), FRONT) for text in part.column(0)]
+                columns = [part.column(1), part.column(2), part.column(3)]
+                columns += [pa.array([len(m[0]) for m in made], pa.int32()), pa.array([m[1] for m in made], pa.int32())]
+                columns += [pa.array([m[0][: m[2]].tobytes() for m in made], pa.binary()), pa.array([m[0][m[2] :].tobytes() for m in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["class", "copies", "groups", "n", "matches", "front", "rest"])
 
     return run
 
 
+def _placed(sets: DataFrame) -> DataFrame:
+    """Each longer prefix once for every block pair of each of its groups."""
+    own = F.pmod(F.xxhash64("class"), F.col("group.blocks")).cast("int")
+    pivots = F.array_sort(F.transform("groups", lambda g: g["pivot"])).alias("pivots")
+    rows = sets.select("class", "n", "matches", "front", pivots, F.explode("groups").alias("group")).withColumn("block", own)
+    return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("group.blocks") - 1))).select(
+        F.col("group.pivot").alias("pivot"),
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "class",
+        "block",
+        "n",
+        "matches",
+        "pivots",
+        "front",
+    )
+
+
 def _shared(lists: list[np.ndarray], wanted: np.ndarray | None = None):
     """For lists of distinct values, a function a -> how many values each list shares with list a."""
     sizes = np.array([len(x) for x in lists], np.int64)
@@ -282,24 +298,37 @@ def _shared(lists: list[np.ndarray], wanted: np.ndarray | None = None):
     return counts
 
 
-def compare(pivot: bytes, crossed: bool, members: list[tuple], percent: int) -> tuple[dict[int, int], list[tuple[int, int]]]:
-    """Link counts and a spanning forest of the links that belong to this group.
+def candidates(pivot: bytes, crossed: bool, members: list[tuple], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(a, others) of the pairs that this group has to verify.
 
-    A member is (class, copies, block, matches, prefix, shingles in order, pivots).  ``crossed``:
-    only pairs of different blocks.
+    A member is (class, block, n, matches, pivots, front, ...).  ``crossed``: only pairs of
+    different blocks.  Pairs that share an earlier pivot are verified there.
     """
-    m = len(members)
-    sizes = np.array([len(x[5]) for x in members], np.int64)
-    matches = np.array([x[3] for x in members], np.int64)
-    blocks = np.array([x[2] for x in members], np.int64)
-    common_prefix = _shared([x[5][: x[4]] for x in members])
-    # pairs that share an earlier pivot are verified there
+    blocks, sizes, matches = (np.array([x[i] for x in members], np.int64) for i in (1, 2, 3))
     names: dict[bytes, int] = {}
-    earlier = [np.array([names.setdefault(p, len(names)) for p in x[6] if p < pivot], np.uint64) for x in members]
+    earlier = [np.array([names.setdefault(p, len(names)) for p in x[4] if p < pivot], np.uint64) for x in members]
+    common_front = _shared([x[5] for x in members])
     common_earlier = _shared(earlier) if names else None
+    index = np.arange(len(members))
+    for a in range(len(members) - 1):
+        possible = (index > a) & (100 * np.minimum(sizes, sizes[a]) >= percent * np.maximum(sizes, sizes[a]))
+        if crossed:
+            possible &= blocks != blocks[a]
+        if not possible.any():
+            continue
+        possible &= common_front(a) >= np.minimum(matches, matches[a])
+        if common_earlier is not None and possible.any():
+            possible &= common_earlier(a) == 0
+        others = np.flatnonzero(possible)
+        if len(others):
+            yield a, others
+
+
+def compare(pivot: bytes, crossed: bool, members: list[tuple], percent: int) -> tuple[dict[int, int], list[tuple[int, int]]]:
+    """Link counts and a spanning forest of the links; members end with (..., rest, copies)."""
     links: dict[int, int] = {}
     forest: list[tuple[int, int]] = []
-    parent = list(range(m))
+    parent = list(range(len(members)))
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -307,27 +336,18 @@ def compare(pivot: bytes, crossed: bool, members: list[tuple], percent: int) ->
             i = parent[i]
         return i
 
-    index = np.arange(m)
-    ascending = [np.sort(x[5]) for x in members]
-    for a in range(m - 1):
-        possible = (common_prefix(a) >= np.minimum(matches, matches[a])) & (index > a)
-        possible &= 100 * np.minimum(sizes, sizes[a]) >= percent * np.maximum(sizes, sizes[a])
-        if crossed:
-            possible &= blocks != blocks[a]
-        if common_earlier is not None and possible.any():
-            possible &= common_earlier(a) == 0
-        others = np.flatnonzero(possible)
-        if not len(others):
-            continue
-        own = ascending[a]
-        flat = np.concatenate([ascending[b] for b in others])
+    whole = [np.sort(np.concatenate([x[5], x[6]])) for x in members]
+    sizes = np.array([len(x) for x in whole], np.int64)
+    for a, others in candidates(pivot, crossed, members, percent):
+        own = whole[a]
+        flat = np.concatenate([whole[b] for b in others])
         place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
         bounds = np.concatenate(([0], np.cumsum(sizes[others])))[:-1]
         both = np.add.reduceat((own[place] == flat).astype(np.int64), bounds)
         linked = 100 * both >= percent * (sizes[a] + sizes[others] - both)
         for b in others[linked].tolist():
-            links[a] = links.get(a, 0) + members[b][1]
-            links[b] = links.get(b, 0) + members[a][1]
+            links[a] = links.get(a, 0) + members[b][7]
+            links[b] = links.get(b, 0) + members[a][7]
             ra, rb = root(a), root(b)
             if ra != rb:
                 parent[max(ra, rb)] = min(ra, rb)
@@ -335,40 +355,68 @@ def compare(pivot: bytes, crossed: bool, members: list[tuple], percent: int) ->
     return links, forest
 
 
-def _verify(percent: int):
+_NAMES = ["pivot", "low", "high", "class", "other", "links"]
+_RESULT = "pivot binary, low int, high int, class binary, other binary, links long"
+_RESULT_ARROW = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
+
+
+def _by_group(work, whole: bool):
+    """Run ``work(key, members)`` for the rows of each (pivot, low, high), which stand together."""
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members = None, {}
         out: list[tuple] = []
 
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _RESULT_ARROW, strict=True)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
         def close() -> None:
-            group = list(members.values())
-            if len(group) > 1:
-                links, forest = compare(key[0], key[1] != key[2], group, percent)
-                out.extend((group[i][0], None, n) for i, n in links.items())
-                out.extend((group[a][0], group[b][0], None) for a, b in forest)
+            if len(members) > 1:
+                out.extend(work(key, list(members.values())))
 
         for batch in rows:
-            columns = [batch.column(i).to_pylist() for i in range(10)]
-            for pivot, low, high, owner, copies, block, matches, prefix, data, pivots in zip(*columns, strict=True):
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for pivot, low, high, owner, block, n, matches, pivots, front, *more in zip(*columns, strict=True):
                 if (pivot, low, high) != key:
                     if key is not None:
                         close()
                     key, members = (pivot, low, high), {}
-                members[owner] = (owner, copies, block, matches, prefix, np.frombuffer(data, np.uint64), pivots)
+                sets = (np.frombuffer(front, np.uint64), np.frombuffer(more[0], np.uint64), more[1]) if whole else (np.frombuffer(front, np.uint64),)
+                members[owner] = (owner, block, n, matches, pivots, *sets)
             if out:
-                yield _linked(out)
+                yield flush()
         if key is not None:
             close()
         if out:
-            yield _linked(out)
+            yield flush()
 
     return run
 
 
-def _linked(out: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.binary(), pa.binary(), pa.int64()], strict=True)]
-    out.clear()
-    return pa.RecordBatch.from_arrays(columns, names=["class", "other", "links"])
+def _hopeful(percent: int):
+    """Members with a candidate; ``links`` holds their block."""
+
+    def work(key: tuple, members: list[tuple]) -> list[tuple]:
+        found: set[int] = set()
+        for a, others in candidates(key[0], key[1] != key[2], members, percent):
+            found.add(a)
+            found.update(others.tolist())
+        return [(*key, members[i][0], None, members[i][1]) for i in found]
+
+    return _by_group(work, whole=False)
+
+
+def _verified(percent: int):
+    """Link counts and forest edges."""
+
+    def work(key: tuple, members: list[tuple]) -> list[tuple]:
+        links, forest = compare(key[0], key[1] != key[2], members, percent)
+        found = [(*key, members[i][0], None, n) for i, n in links.items()]
+        return found + [(*key, members[a][0], members[b][0], None) for a, b in forest]
+
+    return _by_group(work, whole=True)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -404,24 +452,32 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     order = spark.sparkContext.broadcast(Order(_sketch(profiles), percent))
 
     postings = texts.select("text").mapInArrow(_postings(order, words), "token long, class binary, n long")
-    grouped = postings.repartition("token").sortWithinPartitions("token", "class").mapInArrow(_pivots, "pivot binary, class binary, n long")
-    members = materialize(grouped.distinct())
+    sorted_ = postings.repartition("token").sortWithinPartitions("token", "n", "class")
+    members = materialize(sorted_.mapInArrow(_pivots(percent), "pivot binary, class binary, n long").distinct())
     blocks = members.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     groups = members.join(blocks, "pivot").groupBy("class").agg(F.collect_list(F.struct("pivot", "blocks")).alias("groups"))
 
-    classes = sets.filter("n > 0").groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"), F.count("*").alias("copies")
+    classes = (
+        sets.filter("n > 0")
+        .groupBy("class")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"), F.count("*").alias("copies"))
     )
     wanted = groups.join(classes, "class").select("class", "copies", "groups", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
     found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
-    compared = (
-        found.select("text", "class", "copies", "groups")
-        .mapInArrow(_members(order, words), _GROUPED)
-        .repartition("pivot", "low", "high")
-        .sortWithinPartitions("pivot", "low", "high")
-        .mapInArrow(_verify(percent), "class binary, other binary, links long")
+    stored = materialize(found.select("text", "class", "copies", "groups").mapInArrow(_sets(order, words), _SETS))
+    key = ["pivot", "low", "high"]
+    placed = _placed(stored).repartition(*key).sortWithinPartitions(*key).mapInArrow(_hopeful(percent), _RESULT)
+    hopeful = materialize(placed.select(*key, "class", F.col("links").cast("int").alias("block")))
+    # classes with a candidate come again, to those of their groups where they have it
+    pivots = F.array_sort(F.transform("groups", lambda g: g["pivot"])).alias("pivots")
+    linked = materialize(
+        hopeful.join(stored.select("class", "n", "matches", pivots, "front", "rest", "copies"), "class")
+        .select(*key, "class", "block", "n", "matches", "pivots", "front", "rest", "copies")
+        .repartition(*key)
+        .sortWithinPartitions(*key)
+        .mapInArrow(_verified(percent), _RESULT)
+        .select("class", "other", "links")
     )
-    linked = materialize(compared)
     stars = components(linked.filter(F.col("other").isNotNull()).select(F.col("class").alias("a"), F.col("other").alias("b")))
     links = linked.filter(F.col("other").isNull()).groupBy("class").agg(F.sum("links").alias("links"))
 
