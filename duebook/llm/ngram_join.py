@@ -5,14 +5,15 @@
    counters, whatever the corpus.  Shingles are ordered by the sketch's level, rare ones
    first, and by hash within a level; every document uses the same order.
 2. A set that shares ``l`` shingles must do so within the first ``n - ceil(t n) + l`` shingles of
-   both sets.  Each document takes the ``l`` from 1 to ``MAX_MATCHES`` for which its estimated
-   cost, list entries read plus candidates verified, is least, and posts that prefix.
+   both sets.  Each document takes the ``l`` among 1 to ``MAX_MATCHES`` times ``n // SHARE + 1`` for
+   which its estimated cost, list entries read plus candidates verified, is least, and posts
+   that prefix.
 3. Postings are grouped by shingle and sorted by set size; a group is cut where the next size is
    too large for the one before.  The first class of a stretch is its pivot; the others
-   join the pivot's group.  Groups grow with the postings, not with their pairs.
-4. Inside its groups a class brings a longer prefix first: for ``l = n // FRONT`` more matches, so
-   candidates share ``min(l_a, l_b)`` of those and pass the length filter.  Classes
-   without a candidate go no further.
+   join the pivot's group.  Groups grow with the postings, not with their pairs.  A class
+   with fewer shared postings than its least ``l`` asks for has no partner and leaves.
+4. Inside its groups a class brings its prefix first: candidates share ``min(l_a, l_b)`` of its
+   shingles and pass the length filter.  Classes without a candidate go no further.
 5. The others come with their whole sets, and each pair is verified in one of its groups only.
    A large group is cut into blocks whose pairs are separate tasks' work.  A group
    returns a spanning forest of its links and link counts, never all its pairs.
@@ -41,9 +42,9 @@ WORDS = 4
 PERCENT = 85
 SKETCH_BITS = 18
 CHUNK = 4096
-MAX_MATCHES = 4
+SHARE = 16
+MAX_MATCHES = 3
 VERIFY_COST = 4.0
-FRONT = 8
 BLOCK_SHINGLES = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -110,8 +111,8 @@ class Order:
         self.mask = np.uint64(len(sketch) - 1)
         self.percent = percent
 
-    def arrange(self, found: np.ndarray, front: int | None = None) -> tuple[np.ndarray, int, int]:
-        """(shingles in global order, required matches l, prefix length); ``front``: l is n // front at least."""
+    def arrange(self, found: np.ndarray) -> tuple[np.ndarray, int, int]:
+        """(shingles in global order, required matches l, prefix length)."""
         n = len(found)
         bucket = (found & self.mask).astype(np.int64)
         level = self.level[bucket]
@@ -120,14 +121,13 @@ class Order:
             found, bucket = found[order], bucket[order]
         needed = -(-self.percent * n // 100)
         base = n - needed
-        read = np.cumsum(self.expected[bucket[: base + MAX_MATCHES]])
+        read = np.cumsum(self.expected[bucket])
         best, matches = None, 1
-        for m in range(1, min(MAX_MATCHES, needed) + 1):
+        for times in range(1, MAX_MATCHES + 1):
+            m = min(needed, times * (n // SHARE + 1))
             cost = read[base + m - 1] + VERIFY_COST * read[base + m - 1] / m
             if best is None or cost < best:
                 best, matches = cost, m
-        if front:
-            matches = max(matches, min(needed, n // front + 1))
         return found, matches, base + matches
 
 
@@ -246,14 +246,14 @@ _SETS = "class binary, copies long, groups array<struct<pivot:binary,blocks:int>
 
 
 def _sets(order, words: int):
-    """Size, longer prefix and rest of the set of each candidate class."""
+    """Size, prefix and rest of the set of each candidate class."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrange = order.value.arrange
         for batch in rows:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                made = [arrange(shingles(text.as_py(), words), FRONT) for text in part.column(0)]
+                made = [arrange(shingles(text.as_py(), words)) for text in part.column(0)]
                 columns = [part.column(1), part.column(2), part.column(3)]
                 columns += [pa.array([len(m[0]) for m in made], pa.int32()), pa.array([m[1] for m in made], pa.int32())]
                 columns += [pa.array([m[0][: m[2]].tobytes() for m in made], pa.binary()), pa.array([m[0][m[2] :].tobytes() for m in made], pa.binary())]
@@ -263,7 +263,7 @@ def _sets(order, words: int):
 
 
 def _placed(sets: DataFrame) -> DataFrame:
-    """Each longer prefix once for every block pair of each of its groups."""
+    """Each prefix once for every block pair of each of its groups."""
     own = F.pmod(F.xxhash64("class"), F.col("group.blocks")).cast("int")
     pivots = F.array_sort(F.transform("groups", lambda g: g["pivot"])).alias("pivots")
     rows = sets.select("class", "n", "matches", "front", pivots, F.explode("groups").alias("group")).withColumn("block", own)
@@ -453,7 +453,15 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
 
     postings = texts.select("text").mapInArrow(_postings(order, words), "token long, class binary, n long")
     sorted_ = postings.repartition("token").sortWithinPartitions("token", "n", "class")
-    members = materialize(sorted_.mapInArrow(_pivots(percent), "pivot binary, class binary, n long").distinct())
+    grouped = sorted_.mapInArrow(_pivots(percent), "pivot binary, class binary, n long")
+    posted = materialize(grouped.groupBy("pivot", "class", "n").agg(F.count("*").alias("shared")))
+    # the least l of any partner: that of a set of the least size which can be linked
+    least = F.floor(F.ceil(F.col("n") * percent / 100) / SHARE) + 1
+    least = F.least(least, F.ceil(F.ceil(F.col("n") * percent / 100) * percent / 100))
+    able = posted.groupBy("class", "n").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= least).select("class")
+    left = posted.join(able, "class", "left_semi")
+    pairs = left.groupBy("pivot").agg(F.count("*").alias("classes")).filter("classes > 1").select("pivot")
+    members = left.join(pairs, "pivot", "left_semi")
     blocks = members.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     groups = members.join(blocks, "pivot").groupBy("class").agg(F.collect_list(F.struct("pivot", "blocks")).alias("groups"))
 
