@@ -14,15 +14,23 @@ def publish_path(df: DataFrame, path: str) -> DataFrame:
     """Replace the parquet table at ``path``.
 
     The new data is complete before the old is touched, so ``df`` may read the old
-    table, and a failed job leaves it in place.
+    table, and a failed job leaves it in place.  The old table is moved aside, not deleted,
+    until the new one stands in its place; if that move fails, it is put back.
     """
     spark = df.sparkSession
     fs, as_path = _filesystem(spark, path)
     fresh = f"{path}__new_{uuid.uuid4().hex}"
     df.write.parquet(fresh)
-    fs.delete(as_path(path), True)
+    old = f"{path}__old_{uuid.uuid4().hex}"
+    replaced = fs.exists(as_path(path))
+    if replaced and not fs.rename(as_path(path), as_path(old)):
+        raise RuntimeError(f"cannot move {path} aside")
     if not fs.rename(as_path(fresh), as_path(path)):
+        if replaced:
+            fs.rename(as_path(old), as_path(path))
         raise RuntimeError(f"cannot move {fresh} to {path}")
+    if replaced:
+        fs.delete(as_path(old), True)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -87,6 +87,9 @@ def schema_of(table: str) -> StructType:
 def to_schema(df: DataFrame, table: str) -> DataFrame:
     """Pick and cast the columns of a source table; instants become UTC wall-clock times."""
     columns = []
+    missing = [name for name in schema_of(table).names if name not in df.columns]
+    if missing:
+        raise ValueError(f"source {table} has no column {', '.join(missing)}")
     for field in schema_of(table).fields:
         column = F.col(f"`{field.name}`")
         if isinstance(df.schema[field.name].dataType, TimestampType):
@@ -95,6 +98,10 @@ def to_schema(df: DataFrame, table: str) -> DataFrame:
     return df.select(*columns)
 
 
+# what Spark says of a path or table that does not exist
+MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 class Vault(Mapping):
     """Source tables by name, opened on first use."""
 
@@ -117,10 +124,15 @@ class Vault(Mapping):
         return len(SCHEMAS)
 
     def has(self, table: str) -> bool:
+        """False where the source does not exist; a source that exists but cannot be read raises."""
         try:
             self[table]
-        except (AnalysisException, KeyError):
+        except KeyError:
             return False
+        except AnalysisException as error:
+            if error.getCondition() in MISSING:
+                return False
+            raise
         return True
 
     def optional(self, table: str) -> DataFrame:

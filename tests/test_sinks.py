@@ -72,3 +72,13 @@ def test_customer_view_is_part_of_the_list(spark):
     assert len(LIST_COLUMNS) == 41 and len(CUSTOMER_COLUMNS) == 33
     empty = spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in LIST_COLUMNS.items()])
     assert customer_view(empty).columns == CUSTOMER_COLUMNS
+
+
+def test_broken_source_is_not_missing(spark, tmp_path):
+    from duebook.sources.vault import from_parquet
+
+    spark.createDataFrame([(1, "x")], "id long, renamed string").write.parquet(f"{tmp_path}/claims")
+    vault = from_parquet(spark, str(tmp_path))
+    assert not vault.has("dunning_claims") and vault.optional("dunning_claims").isEmpty()
+    with pytest.raises(ValueError):
+        vault.has("claims")
