@@ -510,10 +510,11 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
 
 def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with one document of each component; of repeated rows one stays."""
-    found = link(docs, words, percent).filter("stays").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("r_id"), F.xxhash64("text").alias("r_hash"))
-    kept = rows.join(found, F.col("r_id").eqNullSafe(F.col("k_id")) & (F.col("r_hash") == F.col("k_hash")), "left_semi")
-    return kept.dropDuplicates(["r_id", "r_hash"]).select("doc.*")
+    # a null doc_id gets a number, so that the join and the removal of repeated rows share one exchange
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    found = link(docs, words, percent).filter("stays").select(number.alias("r_id"), F.col("text_hash").alias("r_hash")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"), number.alias("r_id"), F.xxhash64("text").alias("r_hash"))
+    return rows.join(found, ["r_id", "r_hash"], "left_semi").dropDuplicates(["r_id", "r_hash"]).select("doc.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
