@@ -4,8 +4,9 @@ For every language l, and for 'und' (no language known here):
 
     log P(l | all) = log P(text | l) + log P(declared | l) + log P(suffix | l) + log P(l | host)
 
-* ``text``: letter trigrams, hashed; their frequencies are fitted on at most ``SAMPLE`` labelled
-  rows per language (a documented bound, chosen by hash).  'und' is uniform.  The mean over a text counts
+* ``text``: letter trigrams, hashed, without those of one repeated letter; their frequencies are fitted on at most ``SAMPLE`` labelled
+  rows per language (a documented bound, chosen by hash).  Sampled texts that the trigrams found in ``COMMON`` of their
+  label's texts explain no better than chance are mislabelled or noise and leave the sample.  'und' is uniform.  The mean over a text counts
   as ``EFFECTIVE`` trigrams at most, so long texts do not silence the other evidence.
 * ``declared`` markup language and address ``suffix``: how often texts of l carry them, from
   grouped counts over all rows.
@@ -16,7 +17,7 @@ All counts come from one grouped aggregation over the whole table.  Its result h
 per (declared, suffix, domain, host), to which the documents are joined; Spark splits hot
 hosts.  A document is rejected when 'und' wins or no language reaches ``MIN_POSTERIOR``.
 
-Edge cases: a null or empty text, or one without letters, has no text evidence for a language
+Edge cases: a null or empty text, or one without letters or of one letter only, has no text evidence for a language
 and is rejected; missing declarations, suffixes and hosts give no evidence; repeated rows are judged
 alike; extra columns are kept in the struct ``doc``; with no labelled row all texts are 'und'.
 """
@@ -27,7 +28,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duebook.llm.shared import table
@@ -38,6 +39,7 @@ UNKNOWN = "und"
 SAMPLE = 400
 BUCKETS = 1 << 13
 EFFECTIVE = 60
+COMMON = 0.1
 STRENGTH = 5.0
 MIN_POSTERIOR = 0.5
 
@@ -45,7 +47,7 @@ _LETTER: list[np.ndarray] = []
 
 
 def trigrams(text: str | None) -> np.ndarray:
-    """Hash buckets of the letter trigrams of a text, words padded by one space."""
+    """Hash buckets of the letter trigrams of a text, words padded by one space; a letter three times is no evidence."""
     if not text:
         return np.zeros(0, np.int64)
     if not _LETTER:
@@ -53,7 +55,7 @@ def trigrams(text: str | None) -> np.ndarray:
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     letter = _LETTER[0][np.minimum(points, 0xFFFF)] | (points > 0xFFFF)
     points = np.where(letter, points, 32)
-    middle = letter[1:-1]
+    middle = letter[1:-1] & ~((points[:-2] == points[1:-1]) & (points[1:-1] == points[2:]))
     mixed = (points[:-2] * 0x9E37 + points[1:-1]) * 0x85EB + points[2:]
     return ((mixed ^ (mixed >> 15)) & (BUCKETS - 1))[middle]
 
@@ -66,14 +68,39 @@ def fit(docs: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> np.ndarra
     # Spark keeps ``sample`` rows of each language in every task before it ranks them
     rank = F.row_number().over(Window.partitionBy("declared").orderBy("key"))
     keys = [r["key"] for r in ranked.withColumn("rank", rank).filter(F.col("rank") <= sample).select("key").collect()]
+    # one row for each of the ``sample`` texts, however often a text is repeated
+    chosen = materialize(
+        labelled.select("declared", "text", order.alias("key"))
+        .filter(F.col("key").isin(keys) if keys else F.lit(False))
+        .groupBy("declared", "key")
+        .agg(F.min("text").alias("text"))
+    )
+    common = _log_shares(_bucket_counts(chosen), languages, COMMON)
+
+    def ordinary(declared: pd.Series, texts: pd.Series) -> pd.Series:
+        """Texts that the common trigrams of their label explain better than chance does."""
+        scores = [text_scores(t, common) for t in texts]
+        return pd.Series([s[languages.index(d)] > s[-1] for d, s in zip(declared, scores, strict=True)], dtype=bool)
+
+    return _log_shares(_bucket_counts(chosen.filter(F.pandas_udf(ordinary, "boolean")("declared", "text"))), languages)
+
+
+def _bucket_counts(chosen: DataFrame) -> list[Row]:
+    """(declared, bucket, n, share of the label's texts): at most languages x buckets rows."""
     to_buckets = F.pandas_udf(lambda texts: texts.map(trigrams, na_action=None), "array<long>")
-    chosen = labelled.filter(order.isin(keys) if keys else F.lit(False)).select("declared", "text")
-    counts = chosen.select("declared", F.explode(to_buckets("text")).alias("bucket")).groupBy("declared", "bucket").count()
+    texts = chosen.groupBy("declared").agg(F.count("*").alias("n_texts"))
+    each = chosen.select("declared", "key", F.explode(to_buckets("text")).alias("bucket")).groupBy("declared", "key", "bucket").count()
+    counts = each.groupBy("declared", "bucket").agg(F.sum("count").alias("n"), F.count("*").alias("n_holding"))
+    return counts.join(texts, "declared").select("declared", "bucket", "n", (F.col("n_holding") / F.col("n_texts")).alias("share")).collect()
+
+
+def _log_shares(counts: list[Row], languages, least_share: float = 0.0) -> np.ndarray:
+    """Logarithms of smoothed shares of the buckets that ``least_share`` of a label's texts hold."""
     table_ = np.full((len(languages) + 1, BUCKETS), 0.1)
     table_[-1] = 1.0
-    # at most languages x buckets rows
-    for row in counts.collect():
-        table_[languages.index(row["declared"]), row["bucket"]] += row["count"]
+    for row in counts:
+        if row["share"] >= least_share:
+            table_[languages.index(row["declared"]), row["bucket"]] += row["n"]
     # a language without a labelled row is as unknown as 'und', and less likely
     return np.log(table_ / table_.sum(axis=1, keepdims=True)) - (table_.sum(axis=1, keepdims=True) < BUCKETS * 0.1 + 0.5)
 

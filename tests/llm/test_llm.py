@@ -302,6 +302,12 @@ def test_language_evidence(shipped, docs):
     noise = [(i, "".join(random.Random(i).choice("qxzjkvwyg ") for _ in range(400)), "en", "n", 1) for i in range(5)]
     judged = language_id.of_documents(given.unionByName(shipped.createDataFrame(noise, SCHEMA).withColumn("doc_id", F.col("doc_id") + 10**6)))
     assert judged.filter("doc.doc_id >= 1000000 and kept").count() == 0
+    # random letters under a label, each text twice
+    r = random.Random(3)
+    noise = [(i, "".join(r.choice("qxzjkvwyg ") for _ in range(r.randrange(80, 900))), "en", "n", 1) for i in range(8)] * 2
+    judged = language_id.of_documents(given.unionByName(shipped.createDataFrame(noise, SCHEMA).withColumn("doc_id", F.col("doc_id") + 10**6)))
+    assert judged.filter("doc.doc_id >= 1000000 and kept").count() == 0
+    assert judged.filter("doc.doc_id < 1000000 and kept").count() >= 0.99 * given.count()
 
 
 def test_pipeline_stages(shipped, docs):
