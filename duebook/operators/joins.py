@@ -5,25 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPREAD = 256
-
 
 def lookup(left: DataFrame, right: DataFrame, on: dict[str, str], spread_by: str) -> DataFrame:
     """Left outer join that does not send all null keys to one task.
 
     Null keys never match, but a shuffled outer join would still hash them together.
-    Rows with a null key get a spread number derived from ``spread_by``; the right side
-    carries the number 0 only.  ``on`` maps left to right columns; the right key
+    Rows with a null key get the hash of ``spread_by`` as spread number, so they reach every
+    partition; the right side carries the number 0 only.  ``on`` maps left to right columns; the right key
     columns are dropped.
     """
     empty_left = _any_null([F.col(c) for c in on])
     salted = left.withColumn(
-        "__spread", F.when(empty_left, F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int") + 1).otherwise(F.lit(0))
+        "__spread", F.when(empty_left, F.xxhash64(spread_by)).otherwise(F.lit(0).cast("long"))
     )
     keyed = right.withColumnsRenamed({r: f"__r_{r}" for r in on.values()})
     # depends on the key so that the optimiser keeps it as a join key; null keys never match anyway
     keyed = keyed.withColumn(
-        "__spread_r", F.when(_any_null([F.col(f"__r_{r}") for r in on.values()]), F.lit(-1)).otherwise(F.lit(0))
+        "__spread_r", F.when(_any_null([F.col(f"__r_{r}") for r in on.values()]), F.lit(-1)).otherwise(F.lit(0)).cast("long")
     )
     condition = [F.col(a) == F.col(f"__r_{b}") for a, b in on.items()]
     condition.append(F.col("__spread") == F.col("__spread_r"))

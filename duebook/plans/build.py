@@ -32,11 +32,11 @@ class Dates:
     per_charge_due: DataFrame
 
 
-def propagated_due_dates(vault: Vault) -> DataFrame:
+def propagated_due_dates(vault: Vault, max_rounds: int | None = due.MAX_REJECTION_ROUNDS) -> DataFrame:
     """Due dates of originals and of the rejections that inherit them."""
     charge = vault["applied_billing_charge"]
     originals = due.original_due_dates(charge, due.balance_dates(vault["billing_account_balance"]))
-    return due.propagate_due_dates(originals, due.reject_edges(charge))
+    return due.propagate_due_dates(originals, due.reject_edges(charge), max_rounds)
 
 
 def overridden_due_dates(vault: Vault, propagated: DataFrame | None = None) -> DataFrame:
@@ -47,10 +47,14 @@ def overridden_due_dates(vault: Vault, propagated: DataFrame | None = None) -> D
     return due.override_rejected_due(rows, charge)
 
 
-def due_dates(vault: Vault, stage: Callable[[DataFrame], DataFrame] = materialize) -> Dates:
+def due_dates(
+    vault: Vault,
+    stage: Callable[[DataFrame], DataFrame] = materialize,
+    max_rounds: int | None = due.MAX_REJECTION_ROUNDS,
+) -> Dates:
     """All date tables; ``stage`` stores the one that later steps read several times."""
     charge, balance = vault["applied_billing_charge"], vault["billing_account_balance"]
-    dates = stage(due.apply_due_to_balance(due.balance_dates(balance), overridden_due_dates(vault)))
+    dates = stage(due.apply_due_to_balance(due.balance_dates(balance), overridden_due_dates(vault, propagated_due_dates(vault, max_rounds))))
     split = due.split_status_transactions(balance)
     per_charge = due.charge_balance_dates(balance, split, charge)
     per_charge = due.partial_due_on_charge(per_charge, charge, dates)
@@ -121,12 +125,14 @@ def build(
     ledger: str = "journal",
     match_once: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    max_rounds: int | None = due.MAX_REJECTION_ROUNDS,
 ) -> DataFrame:
     """The open item and balance list of one client.
 
     ``ledger`` chooses where bookings come from: ``journal`` or ``documents``.  Charges,
     bookings and the unbalanced list are stored in the checkpoint folder because several
-    steps read them.
+    steps read them.  Chains of rejections are followed over ``max_rounds`` links as in the source
+    system, or to their end with None.
     """
     lookups = client_lookups(client_id, overlays)
     if ledger == "documents":
@@ -135,7 +141,7 @@ def build(
     else:
         books = book.LEDGERS[ledger](vault, lookups)
     bookings = materialize(books.bookings)
-    charges = materialize(charge_rows(vault, as_of))
+    charges = materialize(charge_rows(vault, as_of, due_dates(vault, max_rounds=max_rounds)))
     parts = [
         items.open_items(
             charges,

@@ -73,7 +73,7 @@ def reject_edges(charge: DataFrame) -> DataFrame:
     )
 
 
-def propagate_due_dates(originals: DataFrame, edges: DataFrame, max_rounds: int = MAX_REJECTION_ROUNDS) -> DataFrame:
+def propagate_due_dates(originals: DataFrame, edges: DataFrame, max_rounds: int | None = MAX_REJECTION_ROUNDS) -> DataFrame:
     """Rejections inherit the due date of what they reject, also along chains."""
     inherited = propagate(originals, edges, "transactionid", "original_transactionid", "due_date", max_rounds)
     return originals.unionByName(inherited.select(F.lit("rejection").alias("src"), "transactionid", "due_date"))

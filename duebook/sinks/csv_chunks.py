@@ -44,7 +44,7 @@ def with_chunk(df: DataFrame, rows_per_chunk: int) -> DataFrame:
     )
     before = Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    joined = numbered.withColumn("__part", part).join(F.broadcast(offsets), F.col("__part") == F.col("__p"))
+    joined = numbered.withColumn("__part", part).join(offsets, F.col("__part") == F.col("__p"))
     number = F.col("__before") + F.col("__id") - F.shiftleft(F.col("__part"), _PART_BITS)
     return joined.select(*df.columns, F.floor(number / F.lit(rows_per_chunk)).cast("bigint").alias("chunk"))
 

@@ -141,3 +141,12 @@ def test_propagate_levels_and_bound(spark, rows):
     assert rows(got) == [(f"t{i}", "5") for i in range(2, 9)]
     nothing = propagate(known, links.filter("k = 't9'"), "k", "p", "v", 6)
     assert nothing.isEmpty()
+
+
+def test_propagate_without_a_bound(spark, rows):
+    known = spark.createDataFrame([("t0", 5)], "k string, v int")
+    chain = [(f"t{i}", f"t{i - 1}") for i in range(1, 10)] + [("a", "t2"), ("a", "b"), ("b", "a"), ("c", "d"), ("d", "c")]
+    links = spark.createDataFrame(chain, "k string, p string")
+    assert len(rows(propagate(known, links, "k", "p", "v", 2))) == 2
+    assert rows(propagate(known, links, "k", "p", "v", None)) == sorted([(f"t{i}", "5") for i in range(1, 10)] + [("a", "5"), ("b", "5")])
+    assert propagate(known, links, "k", "p", "v", 0).isEmpty()
