@@ -37,6 +37,7 @@ from duebook.session import materialize
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 SAMPLE = 400
+SHARES = 16
 BUCKETS = 1 << 13
 EFFECTIVE = 60
 COMMON = 0.1
@@ -65,9 +66,11 @@ def fit(docs: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> np.ndarra
     labelled = docs.filter(F.col("declared").isin(*languages) & F.col("text").isNotNull())
     order = F.xxhash64("text")
     ranked = labelled.select("declared", order.alias("key")).distinct()
-    # Spark keeps ``sample`` rows of each language in every task before it ranks them
-    rank = F.row_number().over(Window.partitionBy("declared").orderBy("key"))
-    keys = [r["key"] for r in ranked.withColumn("rank", rank).filter(F.col("rank") <= sample).select("key").collect()]
+    # a hot language is ranked in ``SHARES`` first, so the last task of it reads at most SHARES x sample rows
+    for groups in (["declared", F.pmod("key", F.lit(SHARES))], ["declared"]):
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy("key"))
+        ranked = ranked.withColumn("rank", rank).filter(F.col("rank") <= sample).drop("rank")
+    keys = [r["key"] for r in ranked.select("key").collect()]
     # one row for each of the ``sample`` texts, however often a text is repeated
     chosen = materialize(
         labelled.select("declared", "text", order.alias("key"))
