@@ -31,6 +31,8 @@ from duebook.session import materialize
 
 CAPACITY = 4096
 END = 1
+# chunks in each generation of the encoder's cache: some 20 MB, which idle workers hold while other stages run
+CACHED = 60_000
 
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, local_rank long"
 
@@ -42,7 +44,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = E
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode, seen = encoder(path), [0] * (capacity + 1)
+        encode, seen = encoder(path, CACHED), [0] * (capacity + 1)
         close = np.array([end], "<u4").tobytes()
         for batch in rows:
             out: list[tuple] = []

@@ -153,6 +153,6 @@ class CachedEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> CachedEncoder:
+def encoder(path: str, limit: int = 600_000) -> CachedEncoder:
     """The encoder of a vocabulary file, loaded once per Python worker."""
-    return CachedEncoder(path)
+    return CachedEncoder(path, limit)
