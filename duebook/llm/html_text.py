@@ -4,8 +4,11 @@ Markup is stripped into lines (one per block element).  Elements that never hold
 (scripts, forms, menus, headers and footers of the page, adverts, notices, comments) leave a
 gap of empty lines.  The text lengths of lines, without link text, are summed over windows of
 ``WINDOW`` lines.  A surge point is a window that rises to ``SURGE`` characters, a dive point
-one that falls to nothing; text between a surge and the next dive is kept.  Where
-the page marks its article, lines outside it are empty and every stretch inside it is kept.
+one that falls to nothing; text between a surge and the next dive is kept.  Where the page
+marks its articles, lines outside them count nothing and end a stretch, and lines inside them
+weigh ``SURGE`` times their length, so that a short line is a surge too.  The marks count only
+if the marked articles hold half of the page's text and the longest of them is not shorter
+than the longest stretch outside; else teasers or comments may be what is marked.
 
 Edge cases: a null or empty page has an empty text; unclosed, nested and truncated markup is
 read as far as it goes; repeated rows are extracted one by one; extra columns are kept out.
@@ -53,24 +56,25 @@ _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 def _dropped(name: str, rest: str, in_article: bool) -> bool:
     if name in DROPPED or (name == "header" and not in_article):
         return True
-    if not rest or name in ("html", "body", "article", "main"):
+    if not rest or name in ("html", "body", "main"):
         return False
     words = {w for found in _ATTRIBUTE.findall(rest) for w in re.split(r"[\s_\-:]+", "".join(found).lower())}
     return not words.isdisjoint(HINTS)
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length without links, inside an article) of each line; gaps are empty lines."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """(text, length without links, number of the outermost article or 0) of each line; gaps are empty lines."""
+    lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked, link_depth, articles = 0, 0, 0
+    marked = 0
     skipping, nested = "", 0
 
     def end_line() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            lines.append((text, max(0, len(text) - linked), articles > 0))
+            lines.append((text, max(0, len(text) - linked), marked if articles else 0))
         parts.clear()
         linked = 0
 
@@ -107,33 +111,27 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             continue
         end_line()
         link_depth = 0
-        if name in ARTICLE:
+        if not closing and name not in VOID and not rest.endswith("/") and _dropped(name, rest, articles > 0):
+            skipping, nested = name, 1
+            lines.extend([("", 0, 0)] * WINDOW)
+        elif name in ARTICLE:
+            if not articles and not closing:
+                marked += 1
             articles = max(0, articles - 1) if closing else articles + 1
             if closing and not articles:
-                lines.extend([("", 0, False)] * WINDOW)
-        elif not closing and name not in VOID and not rest.endswith("/") and _dropped(name, rest, articles > 0):
-            skipping, nested = name, 1
-            lines.extend([("", 0, articles > 0)] * WINDOW)
+                lines.extend([("", 0, 0)] * WINDOW)
     text(page[at:])
     end_line()
     return lines
 
 
-def main_text(page: str | None) -> str:
-    """The article text of a page, one line per block."""
-    if not page:
-        return ""
-    lines = lines_of(page)
-    if not lines:
-        return ""
-    if any(inside and line for line, _, inside in lines):
-        return "\n".join([line for line, _, inside in lines if inside and line])
-    sizes = np.array([own if 2 * own >= len(line) else 0 for line, own, _ in lines], np.int64)
-    before = np.concatenate(([0], np.cumsum(sizes)))
+def _stretches(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of lines from each surge to the next dive."""
     n = len(sizes)
+    before = np.concatenate(([0], np.cumsum(sizes)))
     windows = before[np.minimum(np.arange(n) + WINDOW, n)] - before[np.arange(n)]
-    surge = min(SURGE, int(windows.max()))
-    kept, i = [], 0
+    surge = min(SURGE, int(windows.max(initial=0)))
+    found, i = [], 0
     while i < n and surge:
         if windows[i] < surge:
             i += 1
@@ -145,9 +143,35 @@ def main_text(page: str | None) -> str:
         last = i
         while last < n and windows[last]:
             last += 1
-        kept += [line for line, _, _ in lines[first:last] if line]
+        found.append((first, last))
         i = last + 1
-    return "\n".join(kept)
+    return found
+
+
+def _marks_count(sizes: np.ndarray, article: np.ndarray) -> bool:
+    """Whether the marked articles are what the page is about."""
+    own = np.bincount(article, sizes)
+    if 2 * own[1:].sum() < sizes.sum():
+        return False
+    outside = np.where(article > 0, 0, sizes)
+    return own[1:].max(initial=0) >= max([outside[a:b].sum() for a, b in _stretches(outside)], default=0)
+
+
+def main_text(page: str | None) -> str:
+    """The article text of a page, one line per block."""
+    if not page:
+        return ""
+    lines = lines_of(page)
+    if not lines:
+        return ""
+    sizes = np.array([own if 2 * own >= len(line) else 0 for line, own, _ in lines], np.int64)
+    article = np.array([number for _, _, number in lines], np.int64)
+    inside = article > 0
+    bounded = bool(inside.any()) and _marks_count(sizes, article)
+    if bounded:
+        sizes = np.where(inside, sizes * SURGE, 0)
+    kept = [i for a, b in _stretches(sizes) for i in range(a, b) if inside[i] or not bounded]
+    return "\n".join([lines[i][0] for i in kept if lines[i][0]])
 
 
 def extract(page: Column) -> Column:

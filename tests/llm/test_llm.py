@@ -230,6 +230,21 @@ def test_html_without_marked_article():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<p") == ""
 
 
+def test_html_article_marks():
+    long = [f"Paragraph {i} of the page's own text, which is long enough to be a surge by itself, as most are." for i in range(4)]
+    body = "<div>" + "".join(f"<p>{line}</p>" for line in long) + "</div>"
+    # teasers and comments are no article of the page
+    teasers = "".join(f"<article><h3>Teaser {i}</h3></article>" for i in range(3))
+    comments = '<article class="comment"><p>A reader says what readers say, at a length that would be a surge of text.</p></article>' * 3
+    assert html_text.main_text(f"<body>{body}{comments}</body>") == "\n".join(long)
+    assert html_text.main_text(f"<body>{teasers}{body}</body>").split("\n")[-4:] == long
+    # the article bounds the windows, its short lines stay and a list of links in it dives
+    menu = "".join(f"<li><a href=x>Link number {i}</a>" for i in range(5))
+    other = "<p>An imprint without a mark, which is long enough to be a surge of text in any window of lines.</p>"
+    page = f"<body>{other}<main><h1>Title</h1>{body}<p>Short.</p><ul>{menu}</ul><div class=ad>x</div><p>End.</p></main>{other}</body>"
+    assert html_text.main_text(page) == "\n".join(["Title", *long, "Short.", "End."])
+
+
 def test_quality_and_licences_awkward_rows(docs):
     rows = {r.doc_id: r for r in quality_rules.apply_rules(docs).collect()}
     assert rows[41].n_repeat_words == 12 and rows[41].base_failed and not rows[23].kept and rows[40].n_words == 30_000
