@@ -5,8 +5,10 @@ numbers of the test vocabulary (0: not in any test item).  Only stretches whose
 occurs in a test item can hold a match, so the suffix array is built over those stretches by
 prefix doubling; it is exact for all matches of at least q words, and q never exceeds the
 shortest window.  Every test suffix of the shard is then looked up by binary search, which
-gives the range of training suffixes that start with its window (the occurrences) and the
-longest verbatim match with its location.
+gives the range of training suffixes that start with its window (the occurrences).  For the
+longest verbatim match of each document, every place of its stretches is looked up in the suffix
+array of the test words; of equally long matches the first in the document is reported, with the
+smallest id of the items that hold it.
 
 The test words travel to the executors in blocks of at most ``BLOCK_CHARS`` characters; a
 larger benchmark takes more passes over the documents, none of its items is left out.
@@ -19,6 +21,7 @@ columns are kept.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Callable
 
 import numpy as np
@@ -26,11 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import ALNUM_WORDS, table
+from duebook.llm.shared import ALNUM_WORDS, lower_ascii, table
 
 WINDOW = 10
 BLOCK_CHARS = 8_000_000
 SHARD_BYTES = 16_000_000
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _FOUND = "n_words long, hits array<int>, items array<long>, longest int, longest_start int, longest_item long"
 
@@ -45,7 +49,7 @@ class TestWords:
 
     __test__ = False
 
-    def __init__(self, items: list[tuple[int | None, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, str | None]], window: int = WINDOW, q: int | None = None):
         texts = [(item_id, words_of(text)) for item_id, text in items]
         texts = [(item_id, words) for item_id, words in texts if words]
         self.vocabulary: dict[bytes, int] = {}
@@ -55,7 +59,7 @@ class TestWords:
                 number.setdefault(word, len(number) + 1)
         self.items = [(item_id, np.array([number[w] for w in words], np.int64)) for item_id, words in texts]
         self.window = window
-        self.q = min([min(len(a), window) for _, a in self.items], default=window)
+        self.q = q or min([min(len(a), window) for _, a in self.items], default=window)
         # windows by content: the items that hold each
         self.windows: dict[bytes, tuple[np.ndarray, set[int]]] = {}
         grams = set()
@@ -67,6 +71,56 @@ class TestWords:
             for i in range(len(a) - self.q + 1):
                 grams.add(int(self._mix(a[i : i + self.q])))
         self.grams = np.array(sorted(grams), np.uint64)
+        # all items in one sequence, a 0 after each; big-endian, so that bytes compare like numbers
+        ids = np.concatenate([np.zeros(0, np.int64), *[np.append(a, 0) for _, a in self.items]])
+        self.sequence = ids.astype(">u4").tobytes()
+        self.order = suffix_array(ids) if len(ids) else ids
+        # the item of each suffix; those without an id come last
+        known = sorted({item_id for item_id, _ in self.items if item_id is not None})
+        rank = {item_id: k for k, item_id in enumerate(known)}
+        of_item = np.array([rank.get(item_id, len(known)) for item_id, _ in self.items], np.int64)
+        owner = np.repeat(of_item, [len(a) + 1 for _, a in self.items])
+        self.owner, self.item_ids = owner[self.order], [*known, None]
+
+    def _find(self, part: bytes) -> int:
+        """Number of the suffixes before ``part`` in their order."""
+        size, data = len(part), self.sequence
+        return bisect_left(self.order, part, key=lambda at: data[4 * int(at) : 4 * int(at) + size])
+
+    def _holds(self, part: bytes, low: int) -> bool:
+        at = 4 * int(self.order[low]) if low < len(self.order) else len(self.sequence)
+        return self.sequence[at : at + len(part)] == part
+
+    def longest(self, ids: np.ndarray) -> tuple[int, int, int | None] | None:
+        """Longest match of at least q words in ``ids``: (words, first place, item)."""
+        data, n = ids.astype(">u4").tobytes(), len(ids)
+        known = ids > 0
+        # the end of the run of known words that each place lies in
+        ends = np.where(known, n, np.arange(n))
+        ends = np.minimum.accumulate(ends[::-1])[::-1] if n else ends
+        best, place = self.q - 1, -1
+        for i in np.flatnonzero(known).tolist():
+            end = int(ends[i])
+            # only a longer match than the best counts
+            if end - i <= best or not self._holds(part := data[4 * i : 4 * (i + best + 1)], self._find(part)):
+                continue
+            low, high, step = best + 1, end - i, 1
+            while low < high:
+                size = min(low + step, high)
+                part = data[4 * i : 4 * (i + size)]
+                if self._holds(part, self._find(part)):
+                    low, step = size, step * 2
+                elif step > 1:
+                    high, step = size - 1, 1
+                else:
+                    break
+            best, place = low, i
+        if place < 0:
+            return None
+        part = data[4 * place : 4 * (place + best)]
+        low = self._find(part)
+        high = self._find(part + b"\xff\xff\xff\xff")
+        return best, place, self.item_ids[int(self.owner[low:high].min())]
 
     @staticmethod
     def _mix(part: np.ndarray) -> np.uint64:
@@ -168,32 +222,20 @@ def search_shard(test: TestWords, texts: list[list[bytes]]) -> list[tuple]:
             np.add.at(hit, at + len(part), -1)
             for doc in np.unique(np.searchsorted(starts, at, side="right") - 1).tolist():
                 items.setdefault(doc, set()).update(owners)
-    longest: dict[int, tuple] = {}
-    for item_id, a in test.items if items else []:
-        sequence = a.tolist()
-        for i in range(len(sequence)):
-            low, high, depth = 0, len(order), 0
-            while i + depth < len(sequence):
-                lower, upper = _narrow(short, order, low, high, depth, sequence[i + depth])
-                if lower == upper:
-                    break
-                low, high, depth = lower, upper, depth + 1
-            if depth >= test.q:
-                at = int(place[order[low:high].min()])
-                doc = int(np.searchsorted(starts, at, side="right") - 1)
-                if depth > longest.get(doc, (0,))[0]:
-                    longest[doc] = (depth, at - int(starts[doc]), item_id)
     marked = np.cumsum(hit[:-1]) > 0
-    for doc, owners in items.items():
-        own = np.flatnonzero(marked[starts[doc] : starts[doc] + sizes[doc]])
-        found[doc] = (int(sizes[doc]), own.tolist(), owners - {None}, *longest.get(doc, (0, None, None)))
+    covered_docs = np.unique(np.searchsorted(starts, np.flatnonzero(covered), side="right") - 1)
+    for doc in covered_docs.tolist():
+        here = slice(starts[doc], starts[doc] + sizes[doc])
+        own = np.flatnonzero(marked[here])
+        longest = test.longest(np.where(covered[here], ids[here], 0))
+        found[doc] = (int(sizes[doc]), own.tolist(), items.get(doc, set()) - {None}, *(longest or (0, None, None)))
     return found
 
 
-def _searcher(broadcast, window: int) -> Callable:
+def _searcher(broadcast, window: int, q: int | None) -> Callable:
     @F.pandas_udf(_FOUND)
     def search(texts: pd.Series) -> pd.DataFrame:
-        test = _test_words(broadcast, window)
+        test = _test_words(broadcast, window, q)
         rows: list[tuple] = []
         shard: list[list[bytes]] = []
         size = 0
@@ -214,34 +256,43 @@ def _searcher(broadcast, window: int) -> Callable:
 _PREPARED: list[tuple] = []
 
 
-def _test_words(broadcast, window: int) -> TestWords:
+def _test_words(broadcast, window: int, q: int | None) -> TestWords:
     """Prepared once in each Python worker."""
     items = broadcast.value
-    if not _PREPARED or _PREPARED[0][0] is not items or _PREPARED[0][1] != window:
-        _PREPARED[:] = [(items, window, TestWords(items, window))]
+    if not _PREPARED or _PREPARED[0][0] is not items or _PREPARED[0][1] != (window, q):
+        _PREPARED[:] = [(items, (window, q), TestWords(items, window, q))]
     return _PREPARED[0][2]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Each row of ``docs`` as a struct ``doc``, with n_words, n_hit, items and its longest match."""
+    """Each row of ``docs`` as a struct ``doc``, with n_words, n_hit, items and its longest match.
+
+    The longest match has at least as many words as the shortest item, or ``window``.
+    """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    chars = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
+    n_words = F.size(F.array_remove(F.split(lower_ascii(F.coalesce("text", F.lit(""))), GAP), ""))
+    shortest = F.min(F.when(n_words > 0, F.least(n_words, F.lit(window))))
+    chars, q = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0)), shortest).first()
     n_blocks = max(1, -(-chars // block_chars))
     block = F.pmod(F.xxhash64("text", "item_id"), F.lit(n_blocks))
     found = docs.select(F.struct("*").alias("doc"))
     for k in range(n_blocks):
         rows = [tuple(r) for r in items.filter(block == k).collect()]
-        search = _searcher(spark.sparkContext.broadcast(rows), window)
+        search = _searcher(spark.sparkContext.broadcast(rows), window, q)
         found = found.withColumn(f"found{k}", search("doc.text"))
     blocks = [F.col(f"found{k}") for k in range(n_blocks)]
-    best = F.array_max(F.array(*[F.struct(b.longest.alias("longest"), b.longest_start.alias("start"), b.longest_item.alias("item")) for b in blocks]))
+    matches = [
+        F.struct((-b.longest).alias("order"), b.longest_start.alias("start"), b.longest_item.isNull().alias("no_id"), b.longest_item.alias("item"))
+        for b in blocks
+    ]
+    best = F.array_min(F.array(*matches))
     return found.select(
         "doc",
         blocks[0].n_words.alias("n_words"),
         F.size(F.array_distinct(F.flatten(F.array(*[b.hits for b in blocks])))).cast("long").alias("n_hit"),
         F.array_distinct(F.flatten(F.array(*[b["items"] for b in blocks]))).alias("items"),
-        best.alias("longest"),
+        F.struct((-best["order"]).alias("longest"), best["start"].alias("start"), best["item"].alias("item")).alias("longest"),
     )
 
 

@@ -126,6 +126,40 @@ def test_decontamination_by_brute_force(shipped, docs):
     assert decontaminate.decontaminate(docs, shipped.createDataFrame(items, "item_id long, text string")).count() == docs.count()
 
 
+def test_longest_matches_by_brute_force(shipped):
+    """Copies of a passage, and shorter matches beside longer ones, in one shard."""
+    r = random.Random(6)
+    pool = list("abcde")
+    items = [(i, " ".join(r.choice(pool) for _ in range(n))) for i, n in enumerate([25, 25, 14, 8, 40])] + [(7, None), (None, "z y x w v u t s r q p")]
+    items += [(9, items[0][1])]
+    passage = items[4][1].split()
+    texts = [" ".join(["other", *passage[:20], "words"]) for _ in range(30)]
+    texts += [" ".join(["x"] * k + passage[:12] + ["y"]) for k in range(5)]
+    texts += [" ".join(r.choice(pool) for _ in range(r.randrange(0, 200))) for _ in range(20)]
+    texts += ["", None, "z y x w v u t s r q p", " ".join(passage * 2)]
+    words = [(i, (text or "").split()) for i, text in items]
+    q = 8
+
+    def longest(text):
+        w, best = (text or "").split(), (0, None, None)
+        for k in range(len(w)):
+            for item_id, a in words:
+                for j in range(len(a)):
+                    n = 0
+                    while k + n < len(w) and j + n < len(a) and w[k + n] == a[j + n]:
+                        n += 1
+                    better = n > best[0] or n == best[0] and k == best[1] and item_id is not None and (best[2] is None or item_id < best[2])
+                    if n >= q and better:
+                        best = (n, k, item_id)
+        return best
+
+    rows = shipped.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    bench = shipped.createDataFrame(items, "item_id long, text string")
+    for block in (decontaminate.BLOCK_CHARS, 60):
+        for row in decontaminate.decontaminate(rows, bench, block_chars=block).collect():
+            assert tuple(row.longest) == longest(row.doc.text)
+
+
 def test_encoder_equals_whole_texts():
     import public_tokenizers
     from tokenizers import Tokenizer
