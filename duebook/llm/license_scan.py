@@ -1,7 +1,8 @@
 """Licence scans: base phrases, and an exact containment join of text blocks with templates.
 
-Only DataFrame functions are used.  A block is a line; a template is found in a block that
-holds at least ``THRESHOLD`` of the template's distinct words.  The words of all templates
+Only DataFrame functions are used.  A block is a line, or a run of as many consecutive words as
+the template has, across line breaks, so that wrapped notices are found; a template is found in a
+block that holds at least ``THRESHOLD`` of the template's distinct words.  The words of all templates
 are ordered by the number of documents that hold them, rarest first; that count and
 the order have as many entries as the templates have words.  A block can reach the needed overlap only if it
 
@@ -9,6 +10,8 @@ the order have as many entries as the templates have words.  A block can reach t
 * has ``needed`` template words at all (length), and
 * has ``needed`` words left from its first common word on (position).
 
+A run that reaches it can be moved to begin with a word of the template; only such runs are tested.
+
 Blocks that pass are verified by their whole overlap, so the join is exact.  Documents without any prefix
 word, nearly all, stop at the first test.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,13 +81,17 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     for label, text in templates:
         ranks = sorted(rank[w] for w in template_words(text))
         needed = math.ceil(threshold * len(ranks))
-        prepared.append((label, ranks, needed, ranks[: len(ranks) - needed + 1]))
-    first = sorted({order[r - 1] for _, _, _, prefix in prepared for r in prefix} | {p.split()[-1] for p, _ in PHRASES})
+        length = len(re.findall("[0-9a-z]+", text.lower()))
+        prepared.append((label, ranks, needed, ranks[: len(ranks) - needed + 1], length))
+    first = sorted({order[r - 1] for _, _, _, prefix, _ in prepared for r in prefix} | {p.split()[-1] for p, _ in PHRASES})
 
     lowered = docs.select("doc_id", lower_ascii(F.coalesce(F.col("text"), F.lit(""))).alias("text"))
     words = lowered.withColumn("words", _words(F.col("text")))
     tested = words.withColumn("candidate", F.arrays_overlap("words", _texts(first)))
 
+    def ranked(ranks: list[int]) -> Callable[[Column], Column]:
+        return lambda x: x["rank"].isin(ranks)
+
     def places(phrase: str, label: str) -> Column:
         parts = phrase.split()
 
@@ -108,9 +116,26 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
         F.size("words").cast("long").alias("n_words"),
         F.when(F.col("candidate"), base).alias("base"),
         F.when(F.col("candidate"), F.filter(blocks, lambda b: F.size(b) > 0)).alias("blocks"),
+        F.when(F.col("candidate"), F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at")))).alias("placed"),
     )
-
-    def containment(ranks: list[int], needed: int, prefix: list[int]) -> Column:
+    # places and ranks of the template words in the whole text
+    known = F.filter("placed", lambda x: x.word.isin(order))
+    found = found.withColumn("known", F.transform(known, lambda x: F.struct(x["at"].alias("at"), F.array_position(_texts(order), x.word).alias("rank"))))
+    found = found.drop("placed")
+    # each step is a column of its own, so that no lambda evaluates one again
+    for k, (_, ranks, _, prefix, _) in enumerate(prepared):
+        found = found.withColumn(f"own{k}", F.when(F.exists("known", ranked(prefix)), F.filter("known", ranked(ranks))))
+
+    def most_of_runs(own: Column, needed: int, length: int) -> Column:
+        def overlap(x: Column, i: Column) -> Column:
+            # at most ``length`` places lie in a run
+            run = F.filter(F.slice(own, i + 1, length), lambda y: y["at"] < x["at"] + length)
+            distinct = F.size(F.array_distinct(F.transform(run, lambda y: y["rank"])))
+            return F.when(F.get(own, i + (needed - 1))["at"] < x["at"] + length, distinct).otherwise(0)
+
+        return F.coalesce(F.array_max(F.transform(own, overlap)), F.lit(0))
+
+    def containment(k: int, ranks: list[int], needed: int, prefix: list[int], length: int) -> Column:
         own, front = F.array(*[F.lit(r).cast("long") for r in ranks]), F.array(*[F.lit(r).cast("long") for r in prefix])
 
         def possible(block: Column) -> Column:
@@ -118,10 +143,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
             return (F.size(block) >= needed) & F.arrays_overlap(block, front) & (left >= needed)
 
         overlaps = F.transform(F.filter("blocks", possible), lambda b: F.size(F.array_intersect(b, own)))
-        most = F.coalesce(F.array_max(overlaps), F.lit(0))
+        most = F.greatest(F.coalesce(F.array_max(overlaps), F.lit(0)), most_of_runs(F.col(f"own{k}"), needed, length))
         return F.when(most >= needed, most / F.lit(float(len(ranks)))).otherwise(F.lit(0.0))
 
-    scores = F.array(*[F.struct(containment(r, n, p).alias("score"), F.lit(label).alias("label")) for label, r, n, p in prepared])
+    scores = F.array(*[F.struct(containment(k, *rest).alias("score"), F.lit(label).alias("label")) for k, (label, *rest) in enumerate(prepared)])
     scored = found.withColumn("matches", F.when(F.size("blocks") > 0, F.filter(scores, lambda m: m.score > 0)))
 
     base_labels = F.array_distinct(F.transform("base", lambda p: p.label))

@@ -288,6 +288,21 @@ def test_quality_and_licences_awkward_rows(docs):
     assert (found[23].labels, found[23].score, found[23].first_word) == ("", 0.0, None)
 
 
+def test_wrapped_licence_notices(shipped):
+    import textwrap
+
+    texts = [("mit", license_scan.TEMPLATES[6][1]), ("bsd", license_scan.TEMPLATES[1][1]), ("mpl-2.0", license_scan.TEMPLATES[7][1])]
+    rows = []
+    for width, mark in ((72, ""), (30, " * "), (16, "# ")):
+        rows += [(label, "intro words\n" + "\n".join(mark + line for line in textwrap.wrap(text, width)) + "\nother words") for label, text in texts]
+    # the words of a notice far apart are no notice, and a line may be longer than its template
+    rows += [("", "\n".join(f"{w} and some other words between them" for w in texts[0][1].split()))]
+    rows += [("mit", texts[0][1].replace(" ", " or so "))]
+    given = shipped.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {x.doc_id: (x.labels, x.score) for x in license_scan.scan(given).collect()}
+    assert found == {i: (label, 1.0 if label else 0.0) for i, (label, _) in enumerate(rows)}
+
+
 def test_depleted_documents_go(shipped):
     shared = "\n".join(f"line number {i} of the text that all the documents of this host share" for i in range(4))
     texts = [(i, f"{shared}\nown {i}", "en", "h", 1) for i in range(30)]
