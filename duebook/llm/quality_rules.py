@@ -1,9 +1,10 @@
 """Quality rules: base counts of a text, and lines that many documents of a host share.
 
 Only DataFrame functions are used.  The rule: lines are normalised (trimmed, lower-cased) and hashed; a
-line found in more than ``max(min_documents, share * documents)`` distinct documents of its
-host is removed, where documents with equal texts count once; a document that loses more
-than ``max_removed`` of its characters is rejected.  Counting is a grouped aggregation with
+line found in more than ``max(min_documents, min(max_documents, share * documents))`` distinct
+documents of its host is removed, where documents with equal texts count once: exact copies say
+nothing about a line, as all lines of a text that is copied often would go; a document that loses
+more than ``max_removed`` of its characters is rejected.  Counting is a grouped aggregation with
 map-side sums, and only the (host, line) pairs above the limit meet the documents again.
 
 Edge cases: a null or empty text has no words and fails the base rule; a null host is the host
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from duebook.llm.shared import WHITE, table
 
 MIN_DOCUMENTS = 20
+MAX_DOCUMENTS = 1000
 SHARE = 0.05
 MAX_REMOVED = 0.7
 MIN_WORDS = 10
@@ -29,7 +31,11 @@ SYMBOLS = "#*$%&|<>"
 
 
 def _lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "")
+    return F.filter(F.split(text, "\n"), _has_words)
+
+
+def _has_words(line: Column) -> Column:
+    return F.btrim(line, F.lit(WHITE)) != ""
 
 
 def _line_hash(line: Column) -> Column:
@@ -59,6 +65,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
         (F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.char_length("text").alias("n_chars"),
+        "text",
         F.when(n_windows > 1, window).otherwise(F.array().cast("array<long>")).alias("windows"),
     )
     # most texts repeat no window and need no sort
@@ -83,46 +90,57 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return counts.withColumn("base_failed", failed)
 
 
-def common_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, share: float = SHARE) -> DataFrame:
+def common_lines(
+    docs: DataFrame, min_documents: int = MIN_DOCUMENTS, share: float = SHARE, max_documents: int = MAX_DOCUMENTS
+) -> DataFrame:
     """(host, line) of the lines above the limit, lines as hashes."""
     keyed = _keyed(docs)
     lines = F.array_distinct(F.transform(_lines_with_words(F.col("text")), _line_hash))
     found = keyed.select("host", "text_hash", F.explode(lines).alias("line"))
     often = found.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("n")).filter(F.col("n") > min_documents)
     hosts = keyed.groupBy("host").agg(F.count_distinct("text_hash").alias("documents"))
-    return often.join(hosts, "host").filter(F.col("n") > share * F.col("documents")).select("host", "line")
+    above = (F.col("n") > max_documents) | (F.col("n") > share * F.col("documents"))
+    return often.join(hosts, "host").filter(above).select("host", "line")
 
 
 def removed_chars(docs: DataFrame, common: DataFrame) -> DataFrame:
-    """(doc_id, host, text_hash, removed): characters of common lines in each document."""
-    lines = F.transform(
-        _lines_with_words(F.col("text")), lambda line: F.struct(_line_hash(line).alias("line"), F.char_length(line).alias("size"))
+    """(doc_id, host, text_hash, removed, places): characters and places of common lines in each document."""
+    parts = F.transform(
+        F.split("text", "\n"), lambda line, i: F.struct(i.alias("place"), _line_hash(line).alias("line"), F.char_length(line).alias("size"), _has_words(line).alias("full"))
     )
-    rows = _keyed(docs).select("doc_id", "host", "text_hash", F.posexplode(lines).alias("place", "part"))
-    hit = rows.select("doc_id", "host", "text_hash", "place", "part.line", "part.size").join(common, ["host", "line"])
+    lines = F.filter(parts, lambda part: part.full)
+    rows = _keyed(docs).select("doc_id", "host", "text_hash", F.explode(lines).alias("part"))
+    hit = rows.select("doc_id", "host", "text_hash", "part.place", "part.line", "part.size").join(common, ["host", "line"])
     # repeated rows of a document have the same places
     once = hit.groupBy("doc_id", "host", "text_hash", "place").agg(F.max("size").alias("size"))
-    return once.groupBy("doc_id", "host", "text_hash").agg(F.sum("size").alias("removed"))
+    return once.groupBy("doc_id", "host", "text_hash").agg(F.sum("size").alias("removed"), F.collect_list("place").alias("places"))
 
 
 def apply_rules(
-    docs: DataFrame, min_documents: int = MIN_DOCUMENTS, share: float = SHARE, max_removed: float = MAX_REMOVED
+    docs: DataFrame,
+    min_documents: int = MIN_DOCUMENTS,
+    share: float = SHARE,
+    max_removed: float = MAX_REMOVED,
+    max_documents: int = MAX_DOCUMENTS,
 ) -> DataFrame:
-    """Base counts, removed characters and the verdict of each document."""
+    """Base counts, removed characters, the verdict and the text without its common lines of each document."""
     base = base_counts(docs).alias("b")
-    removed = removed_chars(docs, common_lines(docs, min_documents, share)).alias("r")
+    removed = removed_chars(docs, common_lines(docs, min_documents, share, max_documents)).alias("r")
     same = F.col("b.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("b.host") == F.col("r.host")) & (F.col("b.text_hash") == F.col("r.text_hash"))
     gone = F.coalesce(F.col("r.removed"), F.lit(0))
-    return base.join(removed, same, "left").select(
+    # two uses keep the lines a column of their own
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "r.places"), lambda i: F.get(F.col("lines"), i))
+    return base.join(removed, same, "left").withColumn("lines", F.split("b.text", "\n")).select(
         "b.doc_id",
         *[f"b.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")],
         gone.alias("removed_chars"),
         (~F.col("b.base_failed") & (gone <= max_removed * F.col("b.n_chars"))).alias("kept"),
+        F.when(F.col("r.places").isNull(), F.col("b.text")).otherwise(F.array_join(left, "\n")).alias("clean_text"),
     )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_rules(table(spark, sf_dir, "documents"))
+    return apply_rules(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
 SQL = r"""

@@ -311,6 +311,21 @@ def test_depleted_documents_go(shipped):
     assert not any(kept[i] for i in range(30)) and all(kept[100 + i] for i in range(30))
 
 
+def test_lines_above_the_fixed_count_go(shipped):
+    # 30 of 1200 documents are under the share of their host, but above a fixed count of 25
+    texts = [(i, f"own {i}\n\n  A Banner \nlast {i}", "en", "h", 1) for i in range(30)]
+    texts += [(100 + i, f"rare line\nown {100 + i}", "en", "h", 1) for i in range(22)]
+    texts += [(1000 + i, f"own {1000 + i}", "en", "h", 1) for i in range(1148)]
+    given = shipped.createDataFrame(texts, SCHEMA)
+    found = {r.doc_id: r for r in quality_rules.apply_rules(given, max_documents=25).collect()}
+    assert len(found) == 1200
+    assert all(found[i].removed_chars == len("  A Banner ") and found[i].clean_text == f"own {i}\n\nlast {i}" for i in range(30))
+    assert all(found[i].clean_text == text and not found[i].removed_chars for i, text, *_ in texts[30:])
+    # the share of the host holds below the fixed count
+    assert {r.removed_chars for r in quality_rules.apply_rules(given).collect()} == {0}
+    assert quality_rules.MIN_DOCUMENTS < quality_rules.MAX_DOCUMENTS
+
+
 def _groups(texts):
     low = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
     sets = []
