@@ -38,6 +38,12 @@ INLINE = {
     "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+# elements that a sibling closes, with the elements whose begin does it and the one that holds them
+SIBLINGS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "option": ({"option", "optgroup"}, {"select"}),
+    "td": ({"td", "th", "tr", "tbody", "thead", "tfoot"}, {"table"}), "th": ({"td", "th", "tr", "tbody", "thead", "tfoot"}, {"table"}),
+    "tr": ({"tr", "tbody", "thead", "tfoot"}, {"table"}),
+}
 # words in class, id or role that mark what is not the article
 HINTS = {
     "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie",
@@ -62,13 +68,46 @@ def _dropped(name: str, rest: str, in_article: bool) -> bool:
     return not words.isdisjoint(HINTS)
 
 
+class _Open:
+    """The open elements of a page."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+
+    def begin(self, name: str) -> None:
+        """An element begins, after those that its begin closes."""
+        names = self.names
+        sibling = any(name in closers for closers, _ in SIBLINGS.values())
+        if name not in INLINE and (name not in VOID or name == "hr"):
+            for k in range(len(names) - 1, -1, -1):
+                closers, holders = SIBLINGS.get(names[k], ((), ()))
+                if name in closers or names[k] == "p":
+                    del names[k:]
+                elif names[k] in ARTICLE or not sibling and names[k] not in INLINE or any(names[k] in h for c, h in SIBLINGS.values() if name in c):
+                    break
+        if name not in VOID:
+            names.append(name)
+
+    def end(self, name: str) -> None:
+        """An end tag closes its element and all in it; inline ones stay in their block, others in their article."""
+        for k in range(len(self.names) - 1, -1, -1):
+            here = self.names[k]
+            if here == name:
+                del self.names[k:]
+                return
+            if name in INLINE and here not in INLINE or here in ARTICLE and name not in ("body", "html", *ARTICLE):
+                return
+
+
 def lines_of(page: str) -> list[tuple[str, int, int]]:
     """(text, length without links, number of the outermost article or 0) of each line; gaps are empty lines."""
     lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked, link_depth, articles = 0, 0, 0
     marked = 0
-    skipping, nested = "", 0
+    # the number of open elements around the dropped one that is skipped
+    skipping, around = "", 0
+    opened = _Open()
 
     def end_line() -> None:
         nonlocal linked
@@ -93,26 +132,31 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         if not name:
             continue
         closing, rest = bool(token["close"]), token["rest"]
+        if closing:
+            opened.end(name)
+        else:
+            opened.begin(name)
+            if rest.endswith("/") and name not in VOID:
+                opened.names.pop()
         if skipping:
-            if name == skipping:
-                nested += -1 if closing else 1
-            # an unclosed element ends where the article begins, an unclosed paragraph at the next block
-            over = name in ARTICLE and not closing or skipping == "p" and name not in INLINE
-            if nested and not over:
+            # an unclosed element ends where the article begins, an ancestor ends or a sibling begins
+            begins = name in ARTICLE and not closing and skipping not in ARTICLE
+            depth = len(opened.names) - (not closing and name not in VOID and not rest.endswith("/"))
+            if depth > around and not begins:
                 continue
-            skipping = ""
-            if not over:
+            own_end, skipping = closing and name == skipping, ""
+            if own_end:
                 continue
         if name in INLINE:
             if name == "a":
                 link_depth = 0 if closing else 1
             if not closing and name not in VOID and _dropped(name, rest, articles > 0):
-                skipping, nested = name, 1
+                skipping, around = name, len(opened.names) - 1
             continue
         end_line()
         link_depth = 0
         if not closing and name not in VOID and not rest.endswith("/") and _dropped(name, rest, articles > 0):
-            skipping, nested = name, 1
+            skipping, around = name, len(opened.names) - 1
             lines.extend([("", 0, 0)] * WINDOW)
         elif name in ARTICLE:
             if not articles and not closing:

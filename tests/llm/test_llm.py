@@ -279,6 +279,20 @@ def test_html_article_marks():
     assert html_text.main_text(page) == "\n".join(["Title", *long, "Short.", "End."])
 
 
+def test_html_dropped_elements_without_end_tag():
+    text = html_text.main_text
+    assert text('<article><p>Begin</p><ul><li class="share">x<li>y</ul><p>rest</p></article>') == "Begin\ny\nrest"
+    assert text('<main><article><p>Begin</p><div class="ad">x<p>y</article><p>rest</p></main>') == "Begin\nrest"
+    assert text('<article><div><div class="ad">x<div>y</div></div>z</div><p>rest</article>') == "z\nrest"
+    assert text('<article><section><div class="ad">x</section><p>rest</p></article>') == "rest"
+    assert text('<article><table><tr><td class="ad">x<td>y<tr class="ad"><td>z<tr><td>v</table><dl><dt class="ad">x<dd>w</dl></article>') == "y\nv\nw"
+    assert text('<article><ul><li class="share"><ul><li>x<li>y</ul></li><li>z</ul></article>') == "z"
+    assert text('<article><p><span class="ad">x</p><p>rest</p></article>') == "rest"
+    assert text('<article><p class="notice">a<br>b</p><p>rest</p></article>') == "rest"
+    reply = '<article class="comment">x<article class="comment">y</article>z</article>'
+    assert text(f"<article><p>Begin</p>{reply}<p>rest</p></article>") == "Begin\nrest"
+
+
 def test_quality_and_licences_awkward_rows(docs):
     rows = {r.doc_id: r for r in quality_rules.apply_rules(docs).collect()}
     assert rows[41].n_repeat_words == 12 and rows[41].base_failed and not rows[23].kept and rows[40].n_words == 30_000
