@@ -207,6 +207,21 @@ def test_packing(docs):
         assert at <= packing.CAPACITY
 
 
+def test_packed_pieces_equal_plain_ids(docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain, expected = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), []
+    for row in docs.collect():
+        ids = np.asarray([*plain.encode(row.text or "", add_special_tokens=False).ids, packing.END], "<u4")
+        for piece, at in enumerate(range(0, len(ids), packing.CAPACITY)):
+            own = ids[at : at + packing.CAPACITY]
+            expected.append((row.doc_id, piece, at, len(own), zlib.crc32(own.tobytes())))
+    found = packing.packed(docs).select("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(collect(found), key=str) == sorted(expected, key=str)
+    assert max(piece for _, piece, *_ in expected) > 1
+
+
 def test_plan_is_optimal_on_small_instances():
     def best(sizes):
         bins = len(sizes)
