@@ -16,6 +16,7 @@ from duebook.llm import (
     line_dedup,
     ngram_join,
     packing,
+    periodic_runs,
     quality_rules,
     token_codes,
 )
@@ -32,6 +33,7 @@ MODULES = {
     "op8_token_codes": token_codes,
     "op9_ngram_join": ngram_join,
     "op10_license_scan": license_scan,
+    "op12_periodic_runs": periodic_runs,
 }
 
 
