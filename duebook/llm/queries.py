@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from duebook.llm import (
     chat_format,
+    collocations,
     decontaminate,
     html_text,
     language_id,
@@ -34,6 +35,7 @@ MODULES = {
     "op9_ngram_join": ngram_join,
     "op10_license_scan": license_scan,
     "op12_periodic_runs": periodic_runs,
+    "op13_collocations": collocations,
 }
 
 
