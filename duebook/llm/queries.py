@@ -20,6 +20,7 @@ from duebook.llm import (
     periodic_runs,
     quality_rules,
     token_codes,
+    toxicity,
 )
 from duebook.llm.shared import ship
 
@@ -34,6 +35,7 @@ MODULES = {
     "op8_token_codes": token_codes,
     "op9_ngram_join": ngram_join,
     "op10_license_scan": license_scan,
+    "op11_toxicity": toxicity,
     "op12_periodic_runs": periodic_runs,
     "op13_collocations": collocations,
 }
