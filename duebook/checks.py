@@ -30,6 +30,7 @@ from duebook.plans import charges as chg
 from duebook.plans import due_dates as due
 from duebook.plans import dunning as dun
 from duebook.plans import incremental as inc
+from duebook.plans import incremental_list as inc_list
 from duebook.plans import open_items as items
 from duebook.plans import overpayments as over
 from duebook.session import configure, materialize
@@ -40,6 +41,7 @@ from duebook.sources.sample_vault import raw_table, sample_vault
 from duebook.sources.vault import Vault
 
 AS_OF = dt.date(2024, 1, 15)
+EARLIER = dt.date(2024, 1, 5)
 CLIENT = "sample"
 OVERLAYS = {CLIENT: WITH_VAT_ACCOUNTS}
 LOOKUPS = WITH_VAT_ACCOUNTS
@@ -446,7 +448,7 @@ def can_be_due(vault):
 def filled_bill_ids(vault):
     charge = vault["applied_billing_charge"]
     rows = charge.select("ouid", "transactionid", F.when(F.col("ouid") % 2 == 0, F.lit("known")).alias("bill_id"))
-    return chg.fill_bill_id(rows, charge, vault["product"])
+    return chg.fill_bill_id(rows, chg.found_bills(charge, vault["product"]))
 
 
 @on_vault
@@ -666,7 +668,7 @@ def customer_view(vault):
 
 
 def earlier_vault(vault: Vault) -> Vault:
-    """An earlier state: some rows missing, some with older values."""
+    """An earlier state: some rows were not there yet, some had other values, some are gone since."""
     day = F.expr("interval 1 day")
     charge = vault["applied_billing_charge"].filter(F.col("ouid") % 7 != 0)
     older = F.col("ouid") % 5 == 0
@@ -683,7 +685,65 @@ def earlier_vault(vault: Vault) -> Vault:
         "externalid", F.when(F.col("ouid") % 11 == 0, F.lit("old")).otherwise(F.col("externalid"))
     )
     tax = vault["applied_billing_tax_rate"].filter(F.col("datetimelastmodif") < F.lit("2024-06-01").cast("timestamp_ntz"))
-    return vault.replacing(applied_billing_charge=charge, billing_account=account, login=login, applied_billing_tax_rate=tax)
+    request = vault["payment_request"].withColumn(
+        "daterequest", F.when(F.col("ouid") % 12 == 0, F.col("daterequest") - day).otherwise(F.col("daterequest"))
+    )
+    note = vault["settlement_note_advice"].withColumn(
+        "id", F.when(F.col("ouid") % 15 == 0, F.concat(F.col("id"), F.lit("-old"))).otherwise(F.col("id"))
+    )
+    return vault.replacing(
+        applied_billing_charge=_since_removed(charge, 13),
+        billing_account=account,
+        login=_since_removed(login, 17).withColumn("customerouid", F.col("customerouid") + (F.col("ouid") < 0).cast("long") * 7),
+        applied_billing_tax_rate=_since_removed(tax, 19),
+        payment_request=_since_removed(request, 21),
+        settlement_note_advice=note,
+    )
+
+
+def _since_removed(df: DataFrame, share: int) -> DataFrame:
+    """``df`` with a copy of some rows under a negative id, which the present vault no longer has."""
+    gone = df.filter(F.col("ouid") % share == 0).withColumn("ouid", -F.col("ouid"))
+    return df.unionByName(gone)
+
+
+def earlier_list_vault(vault: Vault) -> Vault:
+    """As ``earlier_vault``, with changes in every further source of the list."""
+    earlier = earlier_vault(vault)
+
+    def number(column: str):
+        return F.expr(f"cast(substring({column}, 2) as bigint)")
+
+    def other(df: DataFrame, where, **values) -> DataFrame:
+        return df.withColumns({c: F.when(where, v).otherwise(F.col(c)).cast(df.schema[c].dataType) for c, v in values.items()})
+
+    day = F.expr("interval 1 day")
+    balance = other(earlier["billing_account_balance"], F.col("ouid") % 11 == 0, amount=F.col("amount") + 100, startdatetime=F.col("startdatetime") - day)
+    product = other(earlier["product"], F.col("ouid") % 9 == 0, orderdate=F.col("orderdate") - day)
+    lock = other(earlier["dunning_locks"], F.col("mba").endswith("5"), deleted=~F.col("deleted"))
+    entry = other(earlier["journal_entries"], number("uuid") % 14 == 0, date=F.date_add("date", 1))
+    item = other(earlier["journal_entry_items"], number("uuid") % 10 == 3, amount=F.col("amount") + 1)
+    extra = earlier["journal_entry_items"].filter(number("uuid") % 31 == 0)
+    summary = other(earlier["summaries"], number("uuid") % 12 == 0, export=~F.col("export"))
+    tax_source = other(earlier["journal_entry_item_tax_source_items"], F.col("amount") % 3 == 0, amount=F.col("amount") + 1)
+    state = other(earlier["payment_states"], F.col("id") == "Z1", payment_status=F.lit("EARLIER"))
+    payment = other(earlier["payments"], number("id") % 18 == 0, amount=F.col("amount") + 5)
+    paid = earlier["payment_bookings"].filter(number("id") % 8 != 0)
+    paid = paid.unionByName(paid.filter(number("id") % 27 == 0).withColumn("id", F.concat(F.lit("gone"), F.col("id"))))
+    tax_aggregate = other(earlier["tax_aggregate"], F.col("ouid") % 16 == 0, amount=-F.col("amount"))
+    return earlier.replacing(
+        billing_account_balance=_since_removed(balance.filter(F.col("ouid") % 25 != 0), 23),
+        product=product.filter(F.col("ouid") % 33 != 0),
+        dunning_locks=lock,
+        journal_entries=entry,
+        journal_entry_items=item.filter(number("uuid") % 29 != 0).unionByName(extra),
+        summaries=summary,
+        journal_entry_item_tax_source_items=tax_source,
+        payment_states=state,
+        payments=payment,
+        payment_bookings=paid,
+        tax_aggregate=tax_aggregate,
+    )
 
 
 def _charge_prints(vault):
@@ -694,22 +754,8 @@ def _login_rows(vault):
     return vault["login"].filter(F.col("customerouid") > 0).select("ouid", "customerouid", F.md5("externalid").alias("hash"))
 
 
-def _changes(vault):
-    old = earlier_vault(vault)
-    # an account missing before is found by its key, one with a newer time by its time
-    accounts = inc.changed_keys(
-        inc.fingerprints(vault["billing_account"], ["ouid"], "datetimelastmodif"),
-        inc.fingerprints(old["billing_account"], ["ouid"], "datetimelastmodif"),
-        ["ouid"],
-    )
-    return {
-        "changed_charges": inc.changed_keys(_charge_prints(vault), _charge_prints(old), ["ouid"]),
-        "changed_accounts": accounts,
-        "changed_logins": inc.changed_rows(_login_rows(vault), _login_rows(old)).select("customerouid"),
-        "changed_taxes": inc.changed_since(
-            vault["applied_billing_tax_rate"], old["applied_billing_tax_rate"], "datetimelastmodif"
-        ),
-    }
+def _affected(vault):
+    return inc.affected_charges(vault, inc.extract_changes(earlier_vault(vault), vault))
 
 
 @on_vault
@@ -737,25 +783,35 @@ def changed_since(vault):
 
 @on_vault
 def affected_charges(vault):
-    return inc.affected_charges(vault["applied_billing_charge"], **_changes(vault))
+    return _affected(vault)
+
+
+@on_vault
+def signed_changes(vault):
+    return inc.signed_changes(earlier_vault(vault)["applied_billing_charge"], vault["applied_billing_charge"], ["ouid"])
 
 
 @on_vault
 def recompute_affected(vault):
-    return inc.charge_extract(vault, inc.affected_charges(vault["applied_billing_charge"], **_changes(vault)))
+    return inc.charge_extract(vault, _affected(vault))
 
 
 @on_vault
 def incremental_equals_full(vault):
     previous = inc.charge_extract(earlier_vault(vault))
-    affected = materialize(inc.affected_charges(vault["applied_billing_charge"], **_changes(vault)))
-    return inc.reload_charges(previous, vault, affected)
+    return inc.reload_charges(previous, vault, materialize(_affected(vault)))
+
+
+@on_vault
+def incremental_list(vault):
+    state = inc_list.first(earlier_list_vault(vault), EARLIER, CLIENT, OVERLAYS)
+    return inc_list.advance(state, vault, AS_OF, CLIENT, OVERLAYS).list()
 
 
 @on_vault
 def advance_snapshot(vault):
     snapshot, current = _charge_prints(earlier_vault(vault)), _charge_prints(vault)
-    return inc.advance_snapshot(snapshot, inc.changed_keys(current, snapshot, ["ouid"]), current, ["ouid"])
+    return inc.advance_snapshot(snapshot, inc.signed_changes(snapshot, current, ["ouid"]), current, ["ouid"])
 
 
 @on_vault

@@ -39,12 +39,21 @@ def propagated_due_dates(vault: Vault, max_rounds: int | None = due.MAX_REJECTIO
     return due.propagate_due_dates(originals, due.reject_edges(charge), max_rounds)
 
 
-def overridden_due_dates(vault: Vault, propagated: DataFrame | None = None) -> DataFrame:
+def overridden_due_dates(
+    vault: Vault, propagated: DataFrame | None = None, stage: Callable[[DataFrame], DataFrame] = materialize
+) -> DataFrame:
+    """The three overrides, one after the other.
+
+    Each reads the dates before it as own and as parent dates, so they are stored in between: one
+    row per transaction and source, next to which the parents of the charges are read once.
+    """
     charge = vault["applied_billing_charge"]
     rows = propagated_due_dates(vault) if propagated is None else propagated
-    rows = due.override_request_due(rows, charge, vault["payment_request"])
-    rows = due.override_partial_due(rows, charge)
-    return due.override_rejected_due(rows, charge)
+    parents = stage(due.parent_links(charge))
+    rows = stage(due.override_request_due(rows, charge, vault["payment_request"]))
+    for link in (due.PARTIAL_PARENT, due.REJECTED_PARENT):
+        rows = stage(due.override_from_parent(rows, parents, link))
+    return rows
 
 
 def due_dates(
@@ -52,9 +61,10 @@ def due_dates(
     stage: Callable[[DataFrame], DataFrame] = materialize,
     max_rounds: int | None = due.MAX_REJECTION_ROUNDS,
 ) -> Dates:
-    """All date tables; ``stage`` stores the one that later steps read several times."""
+    """All date tables; ``stage`` stores those that later steps read several times."""
     charge, balance = vault["applied_billing_charge"], vault["billing_account_balance"]
-    dates = stage(due.apply_due_to_balance(due.balance_dates(balance), overridden_due_dates(vault, propagated_due_dates(vault, max_rounds))))
+    overridden = overridden_due_dates(vault, propagated_due_dates(vault, max_rounds), stage)
+    dates = stage(due.apply_due_to_balance(due.balance_dates(balance), overridden))
     split = due.split_status_transactions(balance)
     per_charge = due.charge_balance_dates(balance, split, charge)
     per_charge = due.partial_due_on_charge(per_charge, charge, dates)
@@ -72,6 +82,46 @@ def write_off_rows(vault: Vault) -> DataFrame:
     return write_offs(vault["product"], vault["order_item"], vault["note"], vault["product_order"])
 
 
+@dataclass(frozen=True)
+class ChargeInputs:
+    """Everything that charges are joined with, keyed by charge, transaction, account, note or aggregate."""
+
+    dates: DataFrame
+    per_charge_balance: DataFrame
+    per_charge_due: DataFrame
+    accounts: DataFrame
+    notes: DataFrame
+    write_offs: DataFrame
+    bills: DataFrame
+    taxes: DataFrame
+    signs: DataFrame
+
+
+def charge_inputs(vault: Vault, as_of: dt.date, dates: Dates | None = None) -> ChargeInputs:
+    charge, tax = vault["applied_billing_charge"], vault["applied_billing_tax_rate"]
+    dates = due_dates(vault) if dates is None else dates
+    return ChargeInputs(
+        dates.balance,
+        dates.per_charge_balance,
+        dates.per_charge_due,
+        account_rows(vault, as_of),
+        vault["settlement_note_advice"].select("ouid", "id"),
+        write_off_rows(vault),
+        chg.found_bills(charge, vault["product"]),
+        chg.charge_taxes(tax),
+        chg.aggregate_signs(tax, charge),
+    )
+
+
+def assemble_charges(charge: DataFrame, inputs: ChargeInputs) -> DataFrame:
+    """Rows of all given charges, which may be a part of the source table."""
+    rows = chg.base_charges(
+        charge, inputs.accounts, inputs.notes, inputs.per_charge_due, inputs.per_charge_balance, inputs.dates, inputs.write_offs
+    )
+    rows = chg.fill_bill_id(chg.can_be_due(rows), inputs.bills)
+    return chg.charges(rows, inputs.taxes, inputs.signs)
+
+
 def base_charge_rows(vault: Vault, as_of: dt.date, dates: Dates | None = None) -> DataFrame:
     dates = due_dates(vault) if dates is None else dates
     return chg.base_charges(
@@ -86,10 +136,7 @@ def base_charge_rows(vault: Vault, as_of: dt.date, dates: Dates | None = None) -
 
 
 def charge_rows(vault: Vault, as_of: dt.date, dates: Dates | None = None) -> DataFrame:
-    charge, tax = vault["applied_billing_charge"], vault["applied_billing_tax_rate"]
-    rows = chg.can_be_due(base_charge_rows(vault, as_of, dates))
-    rows = chg.fill_bill_id(rows, charge, vault["product"])
-    return chg.charges(rows, chg.charge_taxes(tax), chg.aggregate_signs(tax, charge))
+    return assemble_charges(vault["applied_billing_charge"], charge_inputs(vault, as_of, dates))
 
 
 def balance_rows(vault: Vault) -> DataFrame:

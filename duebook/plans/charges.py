@@ -161,8 +161,8 @@ def can_be_due(rows: DataFrame) -> DataFrame:
     return set_where(rows, F.col("analyticaxis").like("%cancellation%"), {"can_be_due": F.lit(False)})
 
 
-def fill_bill_id(rows: DataFrame, charge: DataFrame, product: DataFrame) -> DataFrame:
-    """Bill ids of manual consumption, found by the product ordered in the same hour."""
+def found_bills(charge: DataFrame, product: DataFrame) -> DataFrame:
+    """(found_tx, found_bill) of manual consumption, found by the product ordered in the same hour."""
     billed = product.select(
         F.col("billingaccountouid").alias("p_account"),
         F.col("name").alias("p_name"),
@@ -174,7 +174,7 @@ def fill_bill_id(rows: DataFrame, charge: DataFrame, product: DataFrame) -> Data
     consumption = charge.filter(F.col("glid").like("%_MANUAL_CONSUMPTION")).select(
         "transactionid", "billingaccountouid", "productname", "startdatetime", "enddatetime", hour_of("datetimecreate").alias("hour")
     )
-    found = (
+    return (
         consumption.distinct()
         .join(
             billed.distinct(),
@@ -186,6 +186,10 @@ def fill_bill_id(rows: DataFrame, charge: DataFrame, product: DataFrame) -> Data
         )
         .select(F.col("transactionid").alias("found_tx"), "found_bill")
     )
+
+
+def fill_bill_id(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Missing bill ids from ``found_bills``."""
     return fill_from(rows, found, {"transactionid": "found_tx"}, {"bill_id": "found_bill"})
 
 

@@ -90,28 +90,33 @@ def override_request_due(due: DataFrame, charge: DataFrame, payment_request: Dat
     return update_from(due, requested, {"transactionid": "transactionid"}, {"due_date": "request_due"})
 
 
-def _parent_dates(due: DataFrame, charge: DataFrame, link: str) -> DataFrame:
-    links = (
-        charge.select("transactionid", attribute("characteristics", link).alias("parent"))
-        .filter(F.col("parent").isNotNull())
-        .distinct()
-    )
-    parents = due.select(F.col("transactionid").alias("parent"), F.col("due_date").alias("parent_due")).distinct()
-    return links.join(parents, "parent").select("transactionid", "parent_due")
+def parent_links(charge: DataFrame) -> DataFrame:
+    """Distinct (transactionid, parent, link): the transactions that charges name as rejected or partly paid."""
+    named = [F.struct(F.lit(link).alias("link"), attribute("characteristics", link).alias("parent")) for link in (REJECTED_PARENT, PARTIAL_PARENT)]
+    rows = charge.filter(F.col("characteristics").isNotNull()).select("transactionid", F.explode(F.array(*named)).alias("named"))
+    return rows.select("transactionid", "named.parent", "named.link").filter(F.col("parent").isNotNull()).distinct()
+
+
+def _parent_dates(due: DataFrame, parents: DataFrame, link: str) -> DataFrame:
+    """(transactionid, parent_due) for the parents of one kind."""
+    dates = due.select(F.col("transactionid").alias("parent"), F.col("due_date").alias("parent_due")).distinct()
+    links = parents.filter(F.col("link") == link).select("transactionid", "parent")
+    return links.join(dates, "parent").select("transactionid", "parent_due")
+
+
+def override_from_parent(due: DataFrame, parents: DataFrame, link: str) -> DataFrame:
+    """A charge takes over the due date of the transaction that it pays in part or rejects."""
+    return update_from(due, _parent_dates(due, parents, link), {"transactionid": "transactionid"}, {"due_date": "parent_due"})
 
 
 def override_partial_due(due: DataFrame, charge: DataFrame) -> DataFrame:
     """A charge paying another one in part takes over that one's due date."""
-    return update_from(
-        due, _parent_dates(due, charge, PARTIAL_PARENT), {"transactionid": "transactionid"}, {"due_date": "parent_due"}
-    )
+    return override_from_parent(due, parent_links(charge), PARTIAL_PARENT)
 
 
 def override_rejected_due(due: DataFrame, charge: DataFrame) -> DataFrame:
     """One more step from the rejected parent, whose date may have changed since."""
-    return update_from(
-        due, _parent_dates(due, charge, REJECTED_PARENT), {"transactionid": "transactionid"}, {"due_date": "parent_due"}
-    )
+    return override_from_parent(due, parent_links(charge), REJECTED_PARENT)
 
 
 def apply_due_to_balance(dates: DataFrame, due: DataFrame) -> DataFrame:
@@ -170,7 +175,7 @@ def partial_due_on_charge(charge_dates: DataFrame, charge: DataFrame, dates: Dat
     """Partly paid parents also set the due date of the per-charge rows."""
     return update_from(
         charge_dates,
-        _parent_dates(dates.select("transactionid", "due_date"), charge, PARTIAL_PARENT),
+        _parent_dates(dates.select("transactionid", "due_date"), parent_links(charge), PARTIAL_PARENT),
         {"transactionid": "transactionid"},
         {"due_date": "parent_due"},
     )

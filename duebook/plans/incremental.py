@@ -1,11 +1,13 @@
 """Incremental reload: find what changed, recompute only that, replace it.
 
-The snapshot state is a set of fingerprint and timestamp tables of the last run.  After
-every reload the result equals a full rebuild.
+The state of the last run is either its tables, which ``signed_changes`` compares with the
+present ones (additions, changes and removals), or fingerprints and times, which find
+additions and changes only.  ``plans.incremental_list`` carries the changes on to the list.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +38,32 @@ def removed_keys(current: DataFrame, snapshot: DataFrame, keys: list[str]) -> Da
     return delete_using(snapshot, current, {k: k for k in keys}).select(*keys).distinct()
 
 
+def signed_changes(before: DataFrame, after: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """(keys, change) of every key whose rows differ: ``added``, ``changed`` or ``removed``.
+
+    The rows of a key are compared as a multiset by the sums of two hashes of ``columns`` (all others
+    by default).  Both tables go through one partial aggregate, so a hot key
+    shrinks before the shuffle, and null keys are compared like any other.
+    """
+    compared = columns if columns is not None else [c for c in after.columns if c not in keys]
+    # a hash skips nulls, hence the marks
+    values = [part for c in compared for part in (F.isnull(c), F.col(c))]
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        hashes = [F.xxhash64(F.lit(seed), *values).cast("decimal(20,0)") * sign for seed in (1, 2)]
+        return df.select(*keys, F.lit(sign).alias("__sign"), hashes[0].alias("__h1"), hashes[1].alias("__h2"))
+
+    both = side(before, -1).unionByName(side(after, 1)).groupBy(*keys).agg(
+        F.count_if(F.col("__sign") < 0).alias("__before"),
+        F.count_if(F.col("__sign") > 0).alias("__after"),
+        F.sum("__h1").alias("__d1"),
+        F.sum("__h2").alias("__d2"),
+    )
+    differs = (F.col("__before") != F.col("__after")) | (F.col("__d1") != 0) | (F.col("__d2") != 0)
+    kind = F.when(F.col("__before") == 0, "added").when(F.col("__after") == 0, "removed").otherwise("changed")
+    return both.filter(differs).select(*keys, kind.alias("change"))
+
+
 def changed_rows(current: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Rows of ``current`` beyond those of the snapshot, counted with multiplicity."""
     return current.exceptAll(snapshot.select(*current.columns))
@@ -48,35 +76,61 @@ def changed_since(current: DataFrame, snapshot: DataFrame, modified: str) -> Dat
 
 
 def advance_snapshot(snapshot: DataFrame, changed: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
-    """Snapshot with the changed keys brought up to date.  Store it under a new path."""
+    """Snapshot with the changed keys brought up to date; a key without present rows leaves.
+
+    Store it under a new path.
+    """
     mapping = {k: k for k in keys}
     return replace_by_key(snapshot, changed, keep_using(current, changed, mapping), mapping)
 
 
-def affected_charges(
-    charge: DataFrame,
-    changed_charges: DataFrame | None = None,
-    changed_accounts: DataFrame | None = None,
-    changed_logins: DataFrame | None = None,
-    changed_taxes: DataFrame | None = None,
-) -> DataFrame:
-    """Charges touched by any change, as distinct (ouid).
+# What the extract reads of each source: the key of a change, and the columns that matter.
+EXTRACT_INPUTS = {
+    "applied_billing_charge": (["ouid"], None),
+    "billing_account": (["ouid"], ["name", "customerouid"]),
+    "login": (["customerouid"], ["ouid", "externalid"]),
+    "applied_billing_tax_rate": (["appliedbillingchargeouid"], ["taxcategory", "amount"]),
+    "payment_request": (["transactionid"], ["daterequest"]),
+    "settlement_note_advice": (["ouid"], ["id"]),
+}
+
+
+def extract_changes(before, after) -> dict[str, DataFrame]:
+    """Signed changes of every source of the extract between two vaults."""
+    return {name: signed_changes(before[name], after[name], keys, columns) for name, (keys, columns) in EXTRACT_INPUTS.items()}
 
-    Inputs hold ``ouid`` of charges, ``ouid`` of accounts, ``customerouid`` of logins and
-    ``appliedbillingchargeouid`` of tax rows.
+
+def affected_charges(vault, changes: Mapping[str, DataFrame]) -> DataFrame:
+    """Charges touched by changes of any source, as distinct (ouid), removed charges included.
+
+    ``changes`` holds key columns as in ``EXTRACT_INPUTS``.  A source row reaches the charges that refer
+    to it now; a charge that referred to it before and no longer does has changed itself.
     """
-    parts = []
-    if changed_charges is not None:
-        parts.append(changed_charges.select("ouid"))
-    if changed_accounts is not None:
-        parts.append(keep_using(charge, changed_accounts, {"billingaccountouid": "ouid"}).select("ouid"))
-    if changed_logins is not None:
-        parts.append(keep_using(charge, changed_logins, {"customerouid": "customerouid"}).select("ouid"))
-    if changed_taxes is not None:
-        parts.append(changed_taxes.select(F.col("appliedbillingchargeouid").alias("ouid")))
-    if not parts:
+    charge = vault["applied_billing_charge"]
+    found: list[DataFrame] = []
+
+    def referring(changed: DataFrame, column: str, key: str) -> None:
+        found.append(keep_using(charge, changed, {column: key}).select("ouid"))
+
+    for name, changed in changes.items():
+        if name == "applied_billing_charge":
+            found.append(changed.select("ouid"))
+        elif name == "applied_billing_tax_rate":
+            found.append(changed.select(F.col("appliedbillingchargeouid").alias("ouid")))
+        elif name == "billing_account":
+            referring(changed, "billingaccountouid", "ouid")
+        elif name == "login":
+            accounts = keep_using(vault["billing_account"], changed, {"customerouid": "customerouid"})
+            referring(accounts, "billingaccountouid", "ouid")
+        elif name == "payment_request":
+            referring(changed, "transactionid", "transactionid")
+        elif name == "settlement_note_advice":
+            referring(changed, "settlementnoteadviceouid", "ouid")
+        else:
+            raise ValueError(f"{name} is no source of the extract")
+    if not found:
         return charge.select("ouid").filter(F.lit(False))
-    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+    return reduce(lambda a, b: a.unionByName(b), found).filter(F.col("ouid").isNotNull()).distinct()
 
 
 def charge_extract(vault, affected: DataFrame | None = None) -> DataFrame:

@@ -719,8 +719,13 @@ for _suffix, _ledger, _tax, _heads, _ruled in (
 _OLDER = "ouid % 5 = 0"
 PARTS |= {
     "old_charge": f"""
-  select * replace (case when {_OLDER} then datetimelastmodif - interval 1 day else datetimelastmodif end as datetimelastmodif)
-  from applied_billing_charge where ouid % 7 <> 0""",
+  select * replace (case when {_OLDER} then datetimelastmodif - interval 1 day else datetimelastmodif end as datetimelastmodif,
+    cast(case when {_OLDER} then taxincludedamount + 1 else taxincludedamount end as decimal(20,2)) as taxincludedamount)
+  from applied_billing_charge where ouid % 7 <> 0
+  union all
+  select * replace (-ouid as ouid, case when {_OLDER} then datetimelastmodif - interval 1 day else datetimelastmodif end as datetimelastmodif,
+    cast(case when {_OLDER} then taxincludedamount + 1 else taxincludedamount end as decimal(20,2)) as taxincludedamount)
+  from applied_billing_charge where ouid % 7 <> 0 and ouid % 13 = 0""",
     "prints": """
   select ouid, md5(coalesce(cast(datetimelastmodif as varchar), chr(0)) || chr(31) || coalesce(aggregateid, chr(0))) as hash
   from applied_billing_charge""",
@@ -734,12 +739,43 @@ PARTS |= {
     "new_taxes": """
   select ouid, appliedbillingchargeouid from applied_billing_tax_rate where datetimelastmodif >=
     (select min(datetimelastmodif) from applied_billing_tax_rate where datetimelastmodif >= timestamp '2024-06-01')""",
+    # all columns of the present and the earlier rows of a source, and the keys of rows that only one side has
+    "old_logins": """
+  select ouid, customerouid, case when ouid % 11 = 0 then 'old' else externalid end as externalid from login
+  union all select -ouid, customerouid + 7, case when ouid % 11 = 0 then 'old' else externalid end from login where ouid % 17 = 0""",
+    "old_taxes": """
+  select ouid, appliedbillingchargeouid, taxcategory, amount from applied_billing_tax_rate where datetimelastmodif < timestamp '2024-06-01'
+  union all select -ouid, appliedbillingchargeouid, taxcategory, amount from applied_billing_tax_rate
+    where datetimelastmodif < timestamp '2024-06-01' and ouid % 19 = 0""",
+    "old_requests": """
+  select ouid, transactionid, case when ouid % 12 = 0 then daterequest - interval 1 day else daterequest end as daterequest from payment_request
+  union all select -ouid, transactionid, case when ouid % 12 = 0 then daterequest - interval 1 day else daterequest end
+    from payment_request where ouid % 21 = 0""",
+    "moved_charges": """
+  select ouid from ((select * from applied_billing_charge except all select * from old_charge)
+    union all (select * from old_charge except all select * from applied_billing_charge)) x""",
+    "moved_accounts": "select ouid from billing_account where ouid % 10 = 9",
+    "moved_customers": """
+  select customerouid from ((select ouid, customerouid, externalid from login except all select * from old_logins)
+    union all (select * from old_logins except all select ouid, customerouid, externalid from login)) x""",
+    "moved_taxes": """
+  select appliedbillingchargeouid as ouid from (
+    (select appliedbillingchargeouid, taxcategory, amount from applied_billing_tax_rate
+      except all select appliedbillingchargeouid, taxcategory, amount from old_taxes)
+    union all (select appliedbillingchargeouid, taxcategory, amount from old_taxes
+      except all select appliedbillingchargeouid, taxcategory, amount from applied_billing_tax_rate)) x""",
+    "moved_requests": """
+  select transactionid from ((select transactionid, daterequest from payment_request except all select transactionid, daterequest from old_requests)
+    union all (select transactionid, daterequest from old_requests except all select transactionid, daterequest from payment_request)) x""",
+    "moved_notes": "select ouid from settlement_note_advice where ouid % 15 = 0",
     "touched": """
-  select ouid from new_charges
-  union select ouid from applied_billing_charge where billingaccountouid % 10 = 9
-    and billingaccountouid in (select ouid from billing_account)
-  union select c.ouid from applied_billing_charge c join new_logins l on l.customerouid = c.customerouid
-  union select appliedbillingchargeouid from new_taxes""",
+  select ouid from moved_charges
+  union select c.ouid from applied_billing_charge c join moved_accounts a on a.ouid = c.billingaccountouid
+  union select c.ouid from applied_billing_charge c join billing_account a on a.ouid = c.billingaccountouid
+    join moved_customers m on m.customerouid = a.customerouid
+  union select ouid from moved_taxes
+  union select c.ouid from applied_billing_charge c join moved_requests r on r.transactionid = c.transactionid
+  union select c.ouid from applied_billing_charge c join moved_notes n on n.ouid = c.settlementnoteadviceouid""",
     "extract": f"""
   select c.ouid as applied_billing_charge_ouid, a.ouid as billing_account_ouid, l.ouid as login_ouid, c.datetimelastmodif,
     a.name as billing_account, l.externalid as customer_id, {berlin('c.datetimecreate')} as datetimecreate, c.transactionid,
@@ -918,10 +954,14 @@ STATEMENTS: dict[str, str] = {
     "changed_rows": "select * from new_logins",
     "changed_since": "select * from new_taxes",
     "affected_charges": "select * from touched",
+    "signed_changes": """
+  select ouid, case when not exists (select 1 from old_charge o where o.ouid = m.ouid) then 'added'
+    when not exists (select 1 from applied_billing_charge c where c.ouid = m.ouid) then 'removed' else 'changed' end as change
+  from (select distinct ouid from moved_charges) m""",
+    "incremental_list": balanced_list("list_journal"),
     "recompute_affected": "select * from extract where applied_billing_charge_ouid in (select ouid from touched)",
     "incremental_equals_full": "select * from extract",
-    "advance_snapshot": """select * from prints where ouid in (select ouid from new_charges)
-  union all select o.* from old_prints o where ouid not in (select ouid from new_charges)""",
+    "advance_snapshot": "select * from prints",
     "incremental_bookings": """select b.*, s.run_id as source_run from (select row_number() over () as r, * from doc_bookings) b
   join ledger_segments s on false""",
     "chunk_rows": """select cast((n - 1) // 10000 as bigint) as chunk, count(*) as n_rows
