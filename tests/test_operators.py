@@ -108,13 +108,29 @@ def test_numbering_of_hot_keys_equals_the_plain_window(spark, rows, seed):
 
 
 def test_hot_keys_are_really_cut(spark):
-    df = spark.range(10_000).withColumn("k", F.lit("hot"))
-    cuts = numbering._ranges(df, ["k"], ["id"], 1000).first()["__cuts"]
+    df = spark.range(10_000).select("id", F.lit("hot").alias("k"), F.col("id").alias("__tie"))
+    cuts = numbering.cut_points(df, ["k"], ["id"], 1000).first()["__cuts"]
     assert len(cuts) == 10
-    bounds = [0, *[c["v_id"] for c in cuts], 10_000]
+    bounds = [0, *[c["value"]["v_id"] for c in cuts], 10_000]
     assert max(b - a for a, b in zip(bounds, bounds[1:], strict=False)) < 3000
 
 
+def test_keys_are_cut_whatever_their_order_values(spark, rows):
+    """As registered for the running occurrences: few order values, and one value for a whole key."""
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    df = lines.select("l_linenumber", F.col("l_quantity").cast("int").alias("quantity"), F.monotonically_increasing_id().alias("__tie"))
+    df = df.unionByName(spark.range(9000).select(F.lit(99).alias("l_linenumber"), F.lit(7).alias("quantity"), (-1 - F.col("id")).alias("__tie")))
+    hot = {r["l_linenumber"]: r["count"] for r in df.groupBy("l_linenumber").count().collect() if r["count"] > 2000}
+    cuts = {r["__h_l_linenumber"]: r["__cuts"] for r in numbering.cut_points(df, ["l_linenumber"], ["quantity"], 2000).collect()}
+    assert set(cuts) == set(hot) and len(hot) > 5
+    for key, n in hot.items():
+        assert len(cuts[key]) >= n // 2000
+    plain = df.drop("__tie")
+    split = numbering.occurrence_number(plain, ["l_linenumber"], ["quantity"], "n", hot_rows=2000)
+    whole = numbering.occurrence_number(plain, ["l_linenumber"], ["quantity"], "n", hot_rows=None)
+    assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
+
+
 def test_key_total(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 5), (None, 1)], "k string, v int")
     assert rows(numbering.key_total(df, ["k"], "v", "t")) == [
