@@ -3,15 +3,15 @@
 Every word of a text opens one window of up to ``LONGEST`` words that ends with its piece; the
 count of a phrase is the sum over all windows that start with it.
 
-1. A task counts windows in a HAT-trie: word ids lead to hash containers of the words that
-   follow; a container that grows beyond ``BURST`` windows bursts into one container for each
-   second word.  Beyond ``HELD`` windows the largest subtrees leave as sorted runs.
+1. A task counts windows in a HAT-trie: a slot of first words leads to a hash container of
+   their windows; one that grows beyond ``BURST`` windows bursts into containers for slots of
+   second words.  Beyond ``HELD`` windows the largest subtrees leave as sorted runs.
 2. A run is cut at the borders of the prefix partitions, which are ranges of (language, words)
    taken from a sample of windows, so a frequent prefix spans as many ranges as it needs.  The
    sample decides who works on a window, never a result.
-3. A task merges the runs of a range and sums the windows of each prefix.  A prefix inside the
-   range is complete; the first and the last may go on in the next range, so those partial sums
-   are added up by Spark.  Only phrases of ``least`` occurrences go further.
+3. A task merges the runs of a range and sums the windows of each prefix.  A prefix that is no
+   prefix of the range's borders is complete; the others may go on in the next range, so those
+   partial sums are added up by Spark.  Only phrases of ``least`` occurrences go further.
 4. Cuts of candidates meet the counts of their two parts in joins; covering phrases likewise.
 
 Edge cases: a null or empty text has no word; a null language is ``und``; a null ``doc_id`` is
@@ -39,14 +39,16 @@ LEAST = 30
 TOP = 2000
 COVER = 80
 # bits of a word id inside a task: words of STEP places and of the trie before them; beyond WORDS the trie starts anew
-BITS = 21
-WORDS = 500_000
+BITS = 20
+WORDS = 400_000
 STEP = 1_000_000
-BURST = 4096
-HELD = 1_500_000
-BATCH_BYTES = 8 << 20
-# windows that a prefix partition is meant to hold
-RANGE_WINDOWS = 4_000_000
+# a slot of the trie holds words of this many neighbouring ids, a burst container has a slot for as many second words
+SLOT_BITS, FAN_BITS = 3, 6
+BURST = 8192
+HELD = 1_000_000
+BATCH_BYTES = 4 << 20
+# windows that a range is meant to hold
+RANGE_WINDOWS = 1_000_000
 # the sample behind the borders: documents, and windows of each
 SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 100
 # a task ranks at most 2000 phrases from each of these shares of a language
@@ -89,7 +91,7 @@ def windows_of(ids: np.ndarray, piece: np.ndarray) -> list[np.ndarray]:
 
 
 class Trie:
-    """Counts of windows: (language, first word) leads to a container, or to one for each second word."""
+    """Counts of windows: a slot of first words of a language leads to a container, or to one for each slot of second words."""
 
     def __init__(self):
         self.clear()
@@ -98,7 +100,7 @@ class Trie:
         self.ids: dict[str, int] = {}
         self.words: list[str] = [""]
         self.langs: dict[str, int] = {}
-        self.nodes: dict[int, Counter | dict[int, Counter]] = {}
+        self.nodes: dict[int, Counter | list[Counter]] = {}
         self.sizes: dict[int, int] = {}
         self.held = 0
 
@@ -114,67 +116,62 @@ class Trie:
         return out
 
     def add(self, lang: np.ndarray, columns: list[np.ndarray]) -> None:
-        first = lang << BITS | columns[0]
-        order = np.argsort(first << BITS | columns[1], kind="stable")
-        first, second = first[order], columns[1][order]
-        rest = (columns[2] << BITS | columns[3])[order]
-        whole = (second << 2 * BITS | rest).tolist()
-        new = np.append(True, first[1:] != first[:-1])
-        bounds = np.append(np.flatnonzero(new), len(first)).tolist()
-        pair = np.flatnonzero(new | np.append(True, second[1:] != second[:-1]))
+        w1, w2, w3, w4 = columns
+        slot = lang << BITS - SLOT_BITS | w1 >> SLOT_BITS
+        fan = w2 & (1 << FAN_BITS) - 1
+        order = np.argsort(slot << FAN_BITS | fan, kind="stable")
+        slot, fan = slot[order], fan[order]
+        keys = ((w1 & (1 << SLOT_BITS) - 1) << 3 * BITS | w2 << 2 * BITS | w3 << BITS | w4)[order].tolist()
+        new = np.append(True, slot[1:] != slot[:-1])
+        bounds = np.append(np.flatnonzero(new), len(slot)).tolist()
+        fans = np.flatnonzero(new | np.append(True, fan[1:] != fan[:-1]))
         for a, z in zip(bounds, bounds[1:], strict=False):
-            key = int(first[a])
-            node = self.nodes.get(key)
+            at = int(slot[a])
+            node, before = self.nodes.get(at), self.sizes.get(at, 0)
             if node is None:
-                node = self.nodes[key] = Counter()
+                node = self.nodes[at] = Counter()
             if isinstance(node, Counter):
-                node.update(whole[a:z])
+                node.update(keys[a:z])
                 size = len(node)
                 if size > BURST:
-                    self.nodes[key] = burst(node)
+                    self.nodes[at] = burst(node)
             else:
-                size = self.sizes[key]
-                cuts = [*pair[np.searchsorted(pair, a) : np.searchsorted(pair, z)].tolist(), z]
+                size = before
+                cuts = [*fans[np.searchsorted(fans, a) : np.searchsorted(fans, z)].tolist(), z]
                 for b, e in zip(cuts, cuts[1:], strict=False):
-                    container = node.setdefault(int(second[b]), Counter())
+                    container = node[int(fan[b])]
                     size -= len(container)
-                    container.update(rest[b:e].tolist())
+                    container.update(keys[b:e])
                     size += len(container)
-            self.held += size - self.sizes.get(key, 0)
-            self.sizes[key] = size
+            self.held += size - before
+            self.sizes[at] = size
 
     def take(self, most: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray] | None:
         """The largest subtrees, until ``most`` windows are left: languages, ids and counts of their windows."""
-        keys: list[int] = []
-        counts: list[int] = []
-        firsts, sizes = [], []
-        for key in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
+        keys, counts, slots, sizes = [], [], [], []
+        for at in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
             if self.held <= most:
                 break
-            node = self.nodes.pop(key)
-            if isinstance(node, Counter):
-                keys.extend(node.keys())
-                counts.extend(node.values())
-            else:
-                for second, container in node.items():
-                    keys.extend([second << 2 * BITS | k for k in container])
-                    counts.extend(container.values())
-            firsts.append(key)
-            sizes.append(self.sizes.pop(key))
+            node = self.nodes.pop(at)
+            for container in [node] if isinstance(node, Counter) else node:
+                keys.append(np.fromiter(container.keys(), np.int64, len(container)))
+                counts.append(np.fromiter(container.values(), np.int64, len(container)))
+            slots.append(at)
+            sizes.append(self.sizes.pop(at))
             self.held -= sizes[-1]
-        if not firsts:
+        if not slots:
             return None
-        first = np.repeat(np.array(firsts, np.int64), sizes)
-        rest = np.array(keys, np.int64)
-        columns = [first & _MASK, rest >> 2 * BITS, rest >> BITS & _MASK, rest & _MASK]
-        return first >> BITS, columns, np.array(counts, np.int64)
+        slot, key = np.repeat(np.array(slots, np.int64), sizes), np.concatenate(keys)
+        first = (slot & (1 << BITS - SLOT_BITS) - 1) << SLOT_BITS | key >> 3 * BITS
+        columns = [first, key >> 2 * BITS & _MASK, key >> BITS & _MASK, key & _MASK]
+        return slot >> BITS - SLOT_BITS, columns, np.concatenate(counts)
 
 
-def burst(container: Counter) -> dict[int, Counter]:
-    """One container for each second word."""
-    out: dict[int, Counter] = {}
+def burst(container: Counter) -> list[Counter]:
+    """One container for each slot of second words."""
+    out = [Counter() for _ in range(1 << FAN_BITS)]
     for key, n in container.items():
-        out.setdefault(key >> 2 * BITS, Counter())[key & (1 << 2 * BITS) - 1] = n
+        out[key >> 2 * BITS & (1 << FAN_BITS) - 1][key] = n
     return out
 
 
@@ -186,10 +183,10 @@ def _pack(columns: list[np.ndarray], counts: np.ndarray) -> bytes:
 
 
 def _unpack(n: int, data: bytes, size: int) -> tuple[list[np.ndarray], np.ndarray]:
-    whole = np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True), "<u4").astype(np.int64)
-    counts = whole[LONGEST * n : (LONGEST + 1) * n]
+    whole = np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True), "<u4")
+    counts = whole[LONGEST * n : (LONGEST + 1) * n].astype(np.int64)
     if len(whole) > (LONGEST + 1) * n:
-        counts = counts | whole[(LONGEST + 1) * n :] << 32
+        counts |= whole[(LONGEST + 1) * n :].astype(np.int64) << 32
     return [whole[k * n : (k + 1) * n] for k in range(LONGEST)], counts
 
 
@@ -288,42 +285,58 @@ def _count(borders: list[tuple[str, ...]], parts: int):
     return run
 
 
-def merge(runs: list[tuple[list[str], list[np.ndarray], np.ndarray]], least: int) -> Iterator[tuple[int, str, int]]:
-    """(k, phrase, count) of the phrases in sorted runs of one range: complete ones of ``least``, and all at its ends."""
-    everything = pa.concat_arrays([pa.array(words, pa.large_string()) for words, _, _ in runs]).unique()
-    words = everything.take(pc.sort_indices(everything))
-    merged: list[list[np.ndarray]] = [[] for _ in range(LONGEST)]
+def words_of(text: bytes) -> pa.Array:
+    """The words of a run, which single spaces separate."""
+    return pc.split_pattern(pa.array([text.decode()], pa.large_string()), " ").flatten()
+
+
+def merge(runs: list[tuple[pa.Array, list[np.ndarray], np.ndarray]], least: int, ends: set[tuple[str, ...]]) -> Iterator[tuple[int, str, int]]:
+    """(k, phrase, count) of the phrases in sorted runs of one range: those of ``least``, and all of ``ends``."""
+    coded = pa.concat_arrays([words for words, _, _ in runs]).dictionary_encode()
+    words, ranks = coded.dictionary, np.asarray(coded.indices).astype(np.uint64) + np.uint64(1)
+    high, low, at = [], [], 0
     for own, columns, _ in runs:
-        rank = np.append(0, np.asarray(pc.index_in(pa.array(own, pa.large_string()), value_set=words)).astype(np.int64) + 1)
-        for into, column in zip(merged, columns, strict=True):
-            into.append(rank[column])
-    c = [np.concatenate(m) for m in merged]
+        rank = np.append(np.uint64(0), ranks[at : at + len(own)])
+        at += len(own)
+        c = [rank[column] for column in columns]
+        # two numbers of 32 bits share a key
+        high.append(c[0] << np.uint64(32) | c[1])
+        low.append(c[2] << np.uint64(32) | c[3])
+    high, low = np.concatenate(high), np.concatenate(low)
     counts = np.concatenate([n for _, _, n in runs])
-    # a range may hold more words than a task, so two numbers of 32 bits share a key
-    high, low = c[0] << 32 | c[1], c[2] << 32 | c[3]
     order = np.lexsort((low, high))
     high, low, counts = high[order], low[order], counts[order]
     yield 0, "", int(counts.sum())
+    half = np.uint64(32)
+    # numbers of the words at the ends of the range; an unknown one is 0, which is no word
+    known = {w: int(n) + 1 for w in {w for end in ends for w in end} if (n := pc.index(words, pa.scalar(w, words.type)).as_py()) >= 0}
+    border = {tuple(known.get(w, 0) for w in end) for end in ends}
     for k in range(1, LONGEST + 1):
-        keys = [high >> 32] if k == 1 else [high] if k == 2 else [high, low >> 32] if k == 3 else [high, low]
         new = np.ones(len(high), bool)
-        new[1:] = False
-        for key in keys:
-            new[1:] |= key[1:] != key[:-1]
+        own = high >> half if k == 1 else high
+        new[1:] = own[1:] != own[:-1]
+        if k > 2:
+            own = low >> half if k == 3 else low
+            new[1:] |= own[1:] != own[:-1]
         firsts = np.flatnonzero(new)
         sums = np.add.reduceat(counts, firsts)
-        last = low[firsts] & 0xFFFFFFFF if k == 4 else low[firsts] >> 32 if k == 3 else high[firsts] & 0xFFFFFFFF if k == 2 else high[firsts] >> 32
+        columns = [(high[firsts] >> half), high[firsts] & np.uint64(0xFFFFFFFF), low[firsts] >> half, low[firsts] & np.uint64(0xFFFFFFFF)][:k]
         kept = sums >= least
-        kept[[0, -1]] = True
-        kept &= last > 0
-        at = firsts[kept]
-        columns = [high[at] >> 32, high[at] & 0xFFFFFFFF, low[at] >> 32, low[at] & 0xFFFFFFFF][:k]
-        names = [words.take(pa.array(column - 1)).to_pylist() for column in columns]
+        for end in border:
+            if len(end) == k and 0 not in end:
+                kept |= np.logical_and.reduce([column == np.uint64(w) for column, w in zip(columns, end, strict=True)])
+        kept &= columns[-1] > 0
+        names = [words.take(pa.array(column[kept] - np.uint64(1))).to_pylist() for column in columns]
         for parts, n in zip(zip(*names, strict=True), sums[kept].tolist(), strict=True):
             yield k, " ".join(parts), n
 
 
-def _merge(least: int):
+def ends_of(borders: list[tuple[str, ...]], number: int, lang: str) -> set[tuple[str, ...]]:
+    """Phrases of ``lang`` that may have windows in range ``number`` and in others."""
+    return {b[1 : k + 1] for b in borders[max(0, number - 1) : number + 1] if b[0] == lang for k in range(1, LONGEST + 1) if b[k]}
+
+
+def _merge(least: int, borders: list[tuple[str, ...]]):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, runs, out = None, [], []
 
@@ -336,16 +349,16 @@ def _merge(least: int):
         for batch in rows:
             for number, lang, words, n, data in zip(*[batch.column(i).to_pylist() for i in range(1, 6)], strict=True):
                 if at is not None and (number, lang) != at:
-                    out.extend((at[1], *row) for row in merge(runs, least))
+                    out.extend((at[1], *row) for row in merge(runs, least, ends_of(borders, *at)))
                     runs = []
                     if len(out) > 50_000:
                         yield flush()
                 at = (number, lang)
                 names = pa.decompress(words[8:], int.from_bytes(words[:8], "little"), codec="zstd", asbytes=True)
                 columns, counts = _unpack(n, data[8:], int.from_bytes(data[:8], "little"))
-                runs.append((names.decode().split(" "), columns, counts))
+                runs.append((words_of(names), columns, counts))
         if at is not None:
-            out.extend((at[1], *row) for row in merge(runs, least))
+            out.extend((at[1], *row) for row in merge(runs, least, ends_of(borders, *at)))
         if out:
             yield flush()
 
@@ -391,8 +404,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    runs = rows.mapInArrow(_count(borders_of(rows), parts), _RUN)
-    merged = runs.repartitionById(parts, F.col("part")).sortWithinPartitions("range", "lang").mapInArrow(_merge(least), _COUNTS)
+    borders = borders_of(rows)
+    runs = rows.mapInArrow(_count(borders, parts), _RUN)
+    merged = runs.repartitionById(parts, F.col("part")).sortWithinPartitions("range", "lang").mapInArrow(_merge(least, borders), _COUNTS)
     summed = merged.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
     return materialize(summed.filter((F.col("f") >= least) | (F.col("k") == 0)))
 

@@ -92,7 +92,7 @@ def test_spilled_runs_lose_nothing(monkeypatch, held, burst, words, step):
         own = sorted((row for row in found if row[0] == task), key=lambda row: (row[1], row[2]))
         if own:
             batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*own, strict=True), collocations._RUN_ARROW.types, strict=True)], schema=collocations._RUN_ARROW)
-            for out in collocations._merge(6)(iter([batch])):
+            for out in collocations._merge(6, borders)(iter([batch])):
                 for lang, _, phrase, f in zip(*[out.column(i).to_pylist() for i in range(4)], strict=True):
                     got[lang, tuple(phrase.split(" ")) if phrase else ()] += f
     plain = {(lang, p): n for lang, f in plain_counts(rows).items() for p, n in f.items()}
