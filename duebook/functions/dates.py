@@ -6,6 +6,9 @@ results do not depend on the zone of the session.
 
 from __future__ import annotations
 
+import datetime as dt
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,17 @@ def day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
+def after_day(instant: str, text: str, zone: str = BILLING_ZONE) -> Column:
+    """Instants on a later calendar day than ``text``.
+
+    The bare column is compared with the instant at which the next day begins, so the test
+    reaches the scan, where files and row groups without such rows are skipped.
+    """
+    next_day = dt.datetime.fromisoformat(text) + dt.timedelta(days=1)
+    begin = next_day.replace(tzinfo=ZoneInfo(zone)).astimezone(dt.UTC).replace(tzinfo=None)
+    return F.col(instant) >= F.lit(begin.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def german_date(text: Column | str) -> Column:
     """Parse ``31.12.2023``; anything unparsable becomes null."""
     return F.to_date(F.try_to_timestamp(_col(text), F.lit("dd.MM.yyyy")))

@@ -105,7 +105,7 @@ def json_tax_bookings(
         charge_aggregate.withColumnsRenamed({"ouid": "ca_ouid"}), F.col("chargeaggregateouid") == F.col("ca_ouid"), "left"
     ).select(F.col("ouid").alias("ta_ouid"), F.col("aggregateid").alias("aggregate_id"))
     accounts = vat_accounts.withColumnRenamed("mwskz", "code")
-    joined = rows.join(F.broadcast(accounts), F.col("mwskz") == F.col("code"), "left").join(
+    joined = rows.join(accounts, F.col("mwskz") == F.col("code"), "left").join(
         aggregates, F.col("ta_key") == F.col("ta_ouid"), "left"
     )
     return _tax_rows(
@@ -304,7 +304,7 @@ def journal_tax_bookings(vault, vat_accounts: DataFrame) -> DataFrame:
         _items(vault)
         .drop("account")
         .join(chain, F.col("item") == F.col("tax_item"))
-        .join(F.broadcast(accounts), F.col("mwskz") == F.col("code"), "left")
+        .join(accounts, F.col("mwskz") == F.col("code"), "left")
     )
     return _tax_rows(
         joined,

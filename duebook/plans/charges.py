@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook.functions.amounts import UNITS, charge_sign, sign_or_one, sign_or_zero, units
-from duebook.functions.dates import FIRST_DAY_EXCLUDED, day, hour_of, local_date
+from duebook.functions.dates import FIRST_DAY_EXCLUDED, after_day, hour_of, local_date
 from duebook.functions.text import attribute
 from duebook.operators.joins import lookup
 from duebook.operators.updates import fill_from, set_where
@@ -93,7 +93,7 @@ def base_charges(
     for them, so a large transaction does not multiply.  The result may hold equal rows;
     ``charges`` removes them.
     """
-    kept = charge.filter(local_date("datetimelastmodif") > day(FIRST_DAY_EXCLUDED))
+    kept = charge.filter(after_day("datetimelastmodif", FIRST_DAY_EXCLUDED))
     by_charge = charge_due.select(F.col("charge_ouid").alias("dd_ouid"), F.col("due_date").alias("dd_due"))
     by_status = charge_dates.filter(F.col("charge_ouid").isNotNull()).select(
         F.col("charge_ouid").alias("cb_ouid"), F.col("balance_date").alias("cb_balance"), F.col("due_date").alias("cb_due")

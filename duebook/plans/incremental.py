@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook.functions.amounts import UNITS, units
-from duebook.functions.dates import FIRST_DAY_EXCLUDED, day, local_date
+from duebook.functions.dates import FIRST_DAY_EXCLUDED, after_day, local_date
 from duebook.functions.fingerprint import row_fingerprint
 from duebook.operators.joins import lookup
 from duebook.operators.updates import delete_using, keep_using, replace_by_key
@@ -158,7 +158,7 @@ def charge_extract(vault, affected: DataFrame | None = None) -> DataFrame:
     )
     requests = vault["payment_request"].select(F.col("transactionid").alias("request_tx"), "daterequest")
     notes = vault["settlement_note_advice"].select(F.col("ouid").alias("note_ouid"), F.col("id").alias("bill_id"))
-    kept = charge.filter(local_date("datetimecreate") > day(FIRST_DAY_EXCLUDED))
+    kept = charge.filter(after_day("datetimecreate", FIRST_DAY_EXCLUDED))
     joined = kept.join(taxes, F.col("ouid") == F.col("tax_charge"), "left").join(
         requests, F.col("transactionid") == F.col("request_tx"), "left"
     )

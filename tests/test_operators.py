@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +132,33 @@ def test_keys_are_cut_whatever_their_order_values(spark, rows):
     assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
 
 
+def test_long_pattern_lists_give_the_rows_of_short_ones(spark, rows):
+    rng = random.Random(4)
+    words = ["ELEC", "GAS", "BILL", "BONUS", "MANUAL", "%", "_", "X", "LEASE", r"\_", r"\%"]
+    listed = [("%", "%"), ("", ""), ("A%", "_"), ("%_BILL", "%"), (r"%\%%", "%")]
+    listed += [("".join(rng.choice(words) for _ in range(rng.randint(1, 4))), rng.choice(["%", "a%", "%special%", ""])) for _ in range(1495)]
+    data = [("_".join(rng.choice(["ELEC", "GAS", "BILL", "BONUS", "%", "X", ""]) for _ in range(rng.randint(1, 4))), rng.choice([None, "", "a", "abc", "a special b"])) for _ in range(300)]
+    df = spark.createDataFrame(data + [(None, "a"), ("", ""), ("", "")], "g string, a string")
+    columns = [F.col("g"), F.coalesce("a", F.lit(""))]
+    def like(pattern):
+        parts = re.findall(r"\\.|.", pattern)
+        return re.compile("".join(".*" if p == "%" else "." if p == "_" else re.escape(p[-1]) for p in parts), re.S)
+
+    compiled = [(like(g), like(a), g) for g, a in listed]
+    expected, first = [], []
+    for g, a in rows(df):
+        hits = [p for x, y, p in compiled if g is not None and x.fullmatch(g) and y.fullmatch(a or "")]
+        expected += [(g, a, p) for p in hits]
+        first += [(g, a, hits[0])] if hits else []
+    null_last = [[(v is None, v or "") for v in r] for r in sorted(expected, key=lambda r: [(v is None, v or "") for v in r])]
+    found = patterns.pattern_join(df, columns, listed, "p")
+    assert [[(v is None, v or "") for v in r] for r in rows(found)] == null_last
+    once = patterns.pattern_join(df, columns, listed, "p", match_once=True)
+    assert rows(once) == sorted(first, key=lambda r: [(v is None, v or "") for v in r])
+    assert rows(patterns.keep_matching(df, columns, listed)) == rows(df.filter(F.col("g").isNotNull()))
+    assert patterns.anchor("%_BILL%") == "BIL" and patterns.anchor(r"a\_bcd%") == "bcd" and patterns.anchor("%a_b%") == ""
+
+
 def test_key_total(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 5), (None, 1)], "k string, v int")
     assert rows(numbering.key_total(df, ["k"], "v", "t")) == [

@@ -369,3 +369,25 @@ def test_booking_stream(vault, spark, rows, tmp_path):
         stream_bookings(spark, source, target, str(tmp_path / "cp")).awaitTermination()
     expected = inc.run_bookings(vault(booking_runs=[run(1), run(3)])["booking_runs"])
     assert rows(current_bookings(spark, target)) == rows(expected)
+
+
+def test_day_bounds_reach_the_scan(spark, tmp_path, capsys):
+    """The bound is compared with the bare column, so parquet skips files and row groups."""
+    from duebook.functions.dates import FIRST_DAY_EXCLUDED, after_day, local_date
+    from duebook.plans import balances as bal
+    from duebook.sources.vault import from_parquet
+
+    instants = ["2019-07-30 21:59:59", "2019-07-30 22:00:00", "2019-07-29 00:00:00", "2020-01-01 00:00:00", None]
+    df = spark.createDataFrame([(t,) for t in instants], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    kept = df.filter(after_day("t", FIRST_DAY_EXCLUDED))
+    assert kept.exceptAll(df.filter(local_date("t") > F.lit(FIRST_DAY_EXCLUDED).cast("date"))).isEmpty() and kept.count() == 2
+
+    table = spark.createDataFrame([(1, "2021-01-01 00:00:00", "A")], "ouid long, at string, aggregateid string").select(
+        "ouid", "aggregateid", *[F.col("at").cast("timestamp_ntz").alias(c) for c in ("datetimecreate", "datetimelastmodif", "startdatetime", "letteringdate")],
+        *[F.lit("x").alias(c) for c in ("transactionid", "status", "accountingid")], F.lit(1).cast("decimal(20,2)").alias("amount"), F.lit(1).cast("long").alias("billingaccountouid"),
+    )
+    table.write.parquet(str(tmp_path / "billing_account_balance"))
+    vault = from_parquet(spark, str(tmp_path))
+    accounts = spark.createDataFrame([], "account_ouid long, login_ouid long, customer_id string, mba string, cba string, migration_flag string")
+    bal.balances(vault["billing_account_balance"], accounts).explain("formatted")
+    assert "GreaterThanOrEqual(datetimecreate,2019-07-30T22:00)" in capsys.readouterr().out
