@@ -31,6 +31,7 @@ def german(cents: str) -> str:
     return f"replace(cast(cast({unit(f'abs({cents})')} as decimal(20,2)) as varchar), '.', ',')"
 
 
+# Types with inverted sign, due types and tax codes with their accounts.
 INVERTED = "(OVERPAYMENT.CREDIT|.*.MANUAL.BONUS)"
 DUE_TYPES = """('BANK_FEE'), ('DUNNING_FEE'), ('%_ABSCHLAG'), ('%_BILL'), ('%_BILL_MIGRATION'),
   ('%_CANCELLATION_BALANCE'), ('%_MANUAL_BILL'), ('%_MANUAL_BONUS'), ('EPILOT_%_LEASE_PAY'), ('EPILOT_%_SERVICE_PAY'),
@@ -95,11 +96,38 @@ HIDDEN = {
     "dunning_status",
     "booking_execution_id",
 }
-BOOKING = (
-    "booking_execution_id booking_created booking_src key ba budat bukrs beldat aufnr gsber kostl mwskz newbk newbs newko"
-    " mwskz2 prced sgtxt vbund wrbed_total wrbed_aggregate xblnr xstba zterm zuonr psegment aggregate_id"
-    " amount_calculation tax_aggregate_ouid"
-).split()
+# Columns of a booking.
+BOOKING = [
+    "booking_execution_id",
+    "booking_created",
+    "booking_src",
+    "key",
+    "ba",
+    "budat",
+    "bukrs",
+    "beldat",
+    "aufnr",
+    "gsber",
+    "kostl",
+    "mwskz",
+    "newbk",
+    "newbs",
+    "newko",
+    "mwskz2",
+    "prced",
+    "sgtxt",
+    "vbund",
+    "wrbed_total",
+    "wrbed_aggregate",
+    "xblnr",
+    "xstba",
+    "zterm",
+    "zuonr",
+    "psegment",
+    "aggregate_id",
+    "amount_calculation",
+    "tax_aggregate_ouid",
+]
 BOOKING_KINDS = {
     "booking_execution_id": "bigint",
     "booking_created": "date",
@@ -107,10 +135,31 @@ BOOKING_KINDS = {
     "beldat": "date",
     "tax_aggregate_ouid": "bigint",
 }
-TAX_BOOKING = (
-    "bbtax_booking_execution_id bbtax_booking_created key aufnr gsber kostl mwskz newbk newbs newko prced sgtxt vbund xblnr"
-    " xstba zterm zuonr psegment wrbed fwbas aggregate_id amount_calculation"
-).split()
+# Columns of a tax booking.
+TAX_BOOKING = [
+    "bbtax_booking_execution_id",
+    "bbtax_booking_created",
+    "key",
+    "aufnr",
+    "gsber",
+    "kostl",
+    "mwskz",
+    "newbk",
+    "newbs",
+    "newko",
+    "prced",
+    "sgtxt",
+    "vbund",
+    "xblnr",
+    "xstba",
+    "zterm",
+    "zuonr",
+    "psegment",
+    "wrbed",
+    "fwbas",
+    "aggregate_id",
+    "amount_calculation",
+]
 
 
 def list_row(values: dict[str, str], source: str, distinct: bool = False) -> str:
@@ -134,12 +183,20 @@ def tax_row(values: dict[str, str], source: str) -> str:
 
 
 CHARGE_INFO = {
-    c: f"c.{c}"
-    for c in (
-        "datetimelastmodif cba mba customer_id bill_id write_off_date write_off_reason write_off_note dunning_lock_until"
-        " dunning_lock_reason dunning_status dunning_scenario dunning_level migration_flag"
-    ).split()
-} | {
+    "datetimelastmodif": "c.datetimelastmodif",
+    "cba": "c.cba",
+    "mba": "c.mba",
+    "customer_id": "c.customer_id",
+    "bill_id": "c.bill_id",
+    "write_off_date": "c.write_off_date",
+    "write_off_reason": "c.write_off_reason",
+    "write_off_note": "c.write_off_note",
+    "dunning_lock_until": "c.dunning_lock_until",
+    "dunning_lock_reason": "c.dunning_lock_reason",
+    "dunning_status": "c.dunning_status",
+    "dunning_scenario": "c.dunning_scenario",
+    "dunning_level": "c.dunning_level",
+    "migration_flag": "c.migration_flag",
     "applied_billing_charge_ouid": "c.charge",
     "billing_account_ouid": "c.account",
     "login_ouid": "c.login_ouid",
@@ -541,49 +598,75 @@ def part_open(ledger: str) -> str:
       bill_id nulls last, write_off_date nulls last, write_off_reason nulls last, datetimelastmodif, amount_gross) = 1"""
 
 
-RULED_AMOUNT = """case rule
-    when 8 then n * sn when 9 then n * sn - e * st when 14 then n * sn - e * st
-    when 11 then if(taxamount <> 0, g * st, g) when 12 then if(taxamount <> 0, n * st, n)
-    when 17 then e * link_sign when 18 then abs(e) when 19 then abs(v) when 20 then coalesce(link_amount, 0) * link_sign
-    when 21 then abs(v) when 22 then v * st when 23 then 0
-    else if(rule in (1, 3, 5, 6, 15), n * sn, g * sg) end"""
+# What an indicator of a booking asks for.
+INDICATORS = [
+    ("TaxIncludedAmount", "gross"),
+    ("ac.TaxIncludedAmount", "gross of the charge"),
+    ("VATExcludedAmount", "net"),
+    ("TaxIncludedAmount - VAT", "gross less VAT"),
+    ("VAT", "VAT"),
+    ("vat.Amount", "VAT"),
+    ("energyTax.Amount", "energy tax"),
+    ("GASTAX", "energy tax"),
+    ("ELECTRICITYTAX", "energy tax"),
+    ("TaxExcludedAmount - energyTax.Amount", "net less energy tax"),
+    ("VATExcludedAmount - GASTAX", "net less energy tax"),
+    ("VATExcludedAmount - ELECTRICITYTAX", "net less energy tax"),
+    ("TaxIncludedAmount - VAT - ENERGYTAX", "net less energy tax"),
+    ("TaxIncludedAmount - VAT - ELECTRICITYTAX", "net less energy tax"),
+    ("TaxIncludedAmount - VAT - GASTAX", "net less energy tax"),
+]
+
+# Amounts with the sign of their aggregate.
+NET, GROSS = "n * sn", "g * sg"
+LESS_ENERGY = "n * sn - e * st"
+ANY_GROSS = "what in ('gross', 'gross of the charge')"
+REST = "what = 'net less energy tax'"
+DISCOUNT = "c.glid like '%_DISCOUNT_%'"
+DISCOUNT_TIME = "bk between date '2021-06-07' and date '2023-01-17'"
+BONUS = "c.glid like '%_MANUAL_BONUS' and not can"
+BONUS_TIME = "bk between date '2020-11-13' and date '2023-01-12'"
+SUBSCRIPTION = "can and c.glid like '%_SUBSCRIPTION_%' and bk <= date '2021-06-07'"
+
+# Rules of the booked amount in their order: (condition, amount).
+AMOUNT_RULES = [
+    (f"{DISCOUNT} and {DISCOUNT_TIME} and {ANY_GROSS}", NET),
+    (f"{DISCOUNT} and {DISCOUNT_TIME} and {REST}", GROSS),
+    (f"{DISCOUNT} and not can and bk <= date '2023-01-17' and {ANY_GROSS}", NET),
+    (f"{DISCOUNT} and not can and bk <= date '2023-01-17' and {REST}", GROSS),
+    (f"{BONUS} and k.newko[1] = '4' and {ANY_GROSS} and bk between date '2020-11-02' and date '2020-11-11'", NET),
+    (f"{BONUS} and {BONUS_TIME} and {ANY_GROSS}", NET),
+    (f"{BONUS} and {BONUS_TIME} and ({REST} or what = 'net')", GROSS),
+    ("contains(c.analyticaxis, 'write-off') and k.newko[1] = '5' and bk <= date '2023-01-01'", NET),
+    (f"{SUBSCRIPTION} and {ANY_GROSS}", LESS_ENERGY),
+    (f"{SUBSCRIPTION} and {REST}", GROSS),
+    (f"c.glid like 'EPILOT_%' and {ANY_GROSS}", "if(taxamount <> 0, g * st, g)"),
+    (f"c.glid like 'EPILOT_%' and {REST}", "if(taxamount <> 0, n * st, n)"),
+    ("what = 'gross'", GROSS),
+    (REST, LESS_ENERGY),
+    ("what in ('net', 'gross less VAT')", NET),
+    ("what = 'gross of the charge'", GROSS),
+    ("what = 'energy tax' and t.tax_aggregate_ouid is not null", "e * link_sign"),
+    ("what = 'energy tax'", "abs(e)"),
+    ("what = 'VAT' and c.created < date '2021-10-09'", "abs(v)"),
+    ("what = 'VAT' and t.tax_aggregate_ouid is not null", "coalesce(link_amount, 0) * link_sign"),
+    ("what = 'VAT' and bk < date '2024-01-04'", "abs(v)"),
+    ("what = 'VAT'", "v * st"),
+]
 
 
 def part_ruled(ledger: str) -> str:
-    """One row per charge, booking and tax row with the number of the rule that applies."""
+    """One row per charge, booking and tax row with the amount of the first rule that applies."""
+    meanings = "\n      ".join(f"when '{indicator}' then '{meaning}'" for indicator, meaning in INDICATORS)
+    rules = "\n      ".join(f"when {condition} then {amount}" for condition, amount in AMOUNT_RULES)
     return f"""
   select c.*, k.booking_execution_id, k.booking_created, k.budat, k.aufnr, k.mwskz, k.newbs, k.newko, k.xblnr,
     k.amount_calculation, k.aggregate_id, t.tax_ouid, t.amount as link_amount, t.tax_total_sign_via_tax_aggregate as link_sign,
     coalesce(net, 0) as n, coalesce(gross, 0) as g, coalesce(taxamount, 0) as v, coalesce(energytaxamount, 0) as e,
     total_sign_taxexcludedamount as sn, total_sign_taxincludedamount as sg, tax_total_aggregate_sign as st,
-    case k.amount_calculation when 'TaxIncludedAmount' then 'gross' when 'ac.TaxIncludedAmount' then 'ac'
-      when 'VATExcludedAmount' then 'net' when 'TaxIncludedAmount - VAT' then 'net2' when 'VAT' then 'vat'
-      when 'vat.Amount' then 'vat' when 'energyTax.Amount' then 'energy' when 'GASTAX' then 'energy'
-      when 'ELECTRICITYTAX' then 'energy' when 'TaxExcludedAmount - energyTax.Amount' then 'rest'
-      when 'VATExcludedAmount - GASTAX' then 'rest' when 'VATExcludedAmount - ELECTRICITYTAX' then 'rest'
-      when 'TaxIncludedAmount - VAT - ENERGYTAX' then 'rest' when 'TaxIncludedAmount - VAT - ELECTRICITYTAX' then 'rest'
-      when 'TaxIncludedAmount - VAT - GASTAX' then 'rest' else 'none' end as what,
+    case k.amount_calculation {meanings} else 'none' end as what,
     k.booking_created as bk, coalesce(contains(c.analyticaxis, 'cancellation'), false) as can,
-    c.glid like '%_DISCOUNT_%' as is_discount, c.glid like '%_MANUAL_BONUS' as is_bonus,
-    case
-      when is_discount and bk between date '2021-06-07' and date '2023-01-17' and what in ('gross', 'ac') then 1
-      when is_discount and bk between date '2021-06-07' and date '2023-01-17' and what = 'rest' then 2
-      when is_discount and not can and bk <= date '2023-01-17' and what in ('gross', 'ac') then 3
-      when is_discount and not can and bk <= date '2023-01-17' and what = 'rest' then 4
-      when is_bonus and not can and k.newko[1] = '4' and what in ('gross', 'ac')
-        and bk between date '2020-11-02' and date '2020-11-11' then 5
-      when is_bonus and not can and bk between date '2020-11-13' and date '2023-01-12' and what in ('gross', 'ac') then 6
-      when is_bonus and not can and bk between date '2020-11-13' and date '2023-01-12' and what in ('rest', 'net') then 7
-      when contains(c.analyticaxis, 'write-off') and k.newko[1] = '5' and bk <= date '2023-01-01' then 8
-      when can and c.glid like '%_SUBSCRIPTION_%' and bk <= date '2021-06-07' and what in ('gross', 'ac') then 9
-      when can and c.glid like '%_SUBSCRIPTION_%' and bk <= date '2021-06-07' and what = 'rest' then 10
-      when c.glid like 'EPILOT_%' and what in ('gross', 'ac') then 11
-      when c.glid like 'EPILOT_%' and what = 'rest' then 12
-      when what = 'gross' then 13 when what = 'rest' then 14 when what in ('net', 'net2') then 15 when what = 'ac' then 16
-      when what = 'energy' and t.tax_aggregate_ouid is not null then 17 when what = 'energy' then 18
-      when what = 'vat' and c.created < date '2021-10-09' then 19
-      when what = 'vat' and t.tax_aggregate_ouid is not null then 20
-      when what = 'vat' and bk < date '2024-01-04' then 21 when what = 'vat' then 22 else 23 end as rule
+    case {rules} else 0 end as ruled_amount
   from full_charges c left join vat_links l on l.charge_ouid = c.charge
   join {ledger} k on k.aggregate_id = c.aggregateid and c.aggregateid <> ''
     and (k.tax_aggregate_ouid is null or l.tax_aggregate_ouid is null or coalesce(k.amount_calculation not in ('VAT', 'vat.Amount'), true)
@@ -592,7 +675,7 @@ def part_ruled(ledger: str) -> str:
 
 
 def part_booked(ruled: str) -> str:
-    renamed = {k: v.replace("k.", "c.") for k, v in (BOOKED_INFO | both_sides(RULED_AMOUNT)).items()}
+    renamed = {k: v.replace("k.", "c.") for k, v in (BOOKED_INFO | both_sides("c.ruled_amount")).items()}
     values = (
         CHARGE_INFO
         | renamed
@@ -610,8 +693,14 @@ def part_booked(ruled: str) -> str:
 def part_balances(ledger: str) -> str:
     values = (
         dict.fromkeys(["applied_billing_charge_ouid", "billing_account_ouid", "login_ouid", "tax_item_ouid", "bill_id"], "''")
-        | {c: f"b.{c}" for c in "datetimelastmodif cba mba customer_id glid analyticaxis migration_flag".split()}
         | {
+            "datetimelastmodif": "b.datetimelastmodif",
+            "cba": "b.cba",
+            "mba": "b.mba",
+            "customer_id": "b.customer_id",
+            "glid": "b.glid",
+            "analyticaxis": "b.analyticaxis",
+            "migration_flag": "b.migration_flag",
             "billing_account_balance_ouid": "b.ouid",
             "date_created": "b.datetimecreate",
             "transaction_id": "b.transactionid",
@@ -633,8 +722,8 @@ def part_balances(ledger: str) -> str:
 def part_taxes(tax: str, headers: str) -> str:
     number = "cast(replace(k.{}, ',', '.') as decimal(20,2))"
     vat, net = number.format("wrbed"), number.format("fwbas")
-    blank = {c: f"coalesce(cast({v} as varchar), '')" for c, v in CHARGE_INFO.items() if c in (
-        "applied_billing_charge_ouid billing_account_ouid login_ouid customer_id transaction_id glid bill_id".split())}
+    empty = ["applied_billing_charge_ouid", "billing_account_ouid", "login_ouid", "customer_id", "transaction_id", "glid", "bill_id"]
+    blank = {c: f"coalesce(cast({CHARGE_INFO[c]} as varchar), '')" for c in empty}
     values = (
         CHARGE_INFO
         | blank
