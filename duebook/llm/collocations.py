@@ -40,12 +40,12 @@ TOP = 2000
 COVER = 80
 # bits of a word id inside a task: words of STEP places and of the trie before them; beyond WORDS the trie starts anew
 BITS = 20
-WORDS = 400_000
+WORDS = 250_000
 STEP = 1_000_000
 # a slot of the trie holds words of this many neighbouring ids, a burst container has a slot for as many second words
 SLOT_BITS, FAN_BITS = 3, 6
 BURST = 8192
-HELD = 1_000_000
+HELD = 500_000
 BATCH_BYTES = 4 << 20
 # windows that a range is meant to hold
 RANGE_WINDOWS = 1_000_000
