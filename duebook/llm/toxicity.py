@@ -68,18 +68,18 @@ def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     whole = np.frombuffer("".join(f"\x02{w}\x03" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
     lengths = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
     ends = np.repeat(np.cumsum(lengths), lengths)
-    word = np.repeat(np.arange(len(words)), lengths)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
     found, owner = [], []
     for n in GRAMS:
         hashed = np.zeros(len(whole), np.uint64)
         for k in range(n):
             hashed[: len(whole) - k] = hashed[: len(whole) - k] * np.uint64(1_000_003) + whole[k:] + np.uint64(n)
         inside = np.arange(len(whole)) + n <= ends
-        found.append((hashed[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS))
+        found.append(((hashed[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int32))
         owner.append(word[inside])
     owners = np.concatenate(owner)
     order = np.argsort(owners, kind="stable")
-    return np.concatenate(found)[order].astype(np.int64), np.bincount(owners, minlength=len(words))
+    return np.concatenate(found)[order], np.bincount(owners, minlength=len(words))
 
 
 class Vocabulary:
@@ -122,12 +122,15 @@ class Evidence:
         odds = log_odds(held[1], held[0], n[1], n[0])
         kept = np.flatnonzero(held[0] + held[1] > 0)
         self.odds = dict(zip([vocabulary.words[i] for i in kept.tolist()], odds[kept].tolist(), strict=True))
-        # texts that hold an n-gram, counted once each
-        size = vocabulary.n_grams[word]
-        at = np.repeat(vocabulary.first_gram[word] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        both = distinct(np.repeat(text, size) << GRAM_BITS | vocabulary.grams[at])
-        gram, label = both & (1 << GRAM_BITS) - 1, labels[both >> GRAM_BITS]
-        held = [np.bincount(gram[label == k], minlength=1 << GRAM_BITS) for k in (0, 1)]
+        # texts that hold an n-gram, counted once each; whole texts at a time, which bounds the memory
+        held = [np.zeros(1 << GRAM_BITS, np.int64) for _ in range(2)]
+        cuts = np.searchsorted(text, np.arange(0, len(counts) + 200, 200))
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            own, size = word[a:z], vocabulary.n_grams[word[a:z]]
+            at = np.repeat(vocabulary.first_gram[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            both = distinct(np.repeat(text[a:z], size) << GRAM_BITS | vocabulary.grams[at])
+            for k in (0, 1):
+                held[k] += np.bincount(both[labels[both >> GRAM_BITS] == k] & (1 << GRAM_BITS) - 1, minlength=1 << GRAM_BITS)
         self.gram_odds = log_odds(held[1], held[0], n[1], n[0])
         self.gram_odds[held[0] + held[1] == 0] = 0
 
