@@ -7,6 +7,7 @@ vault derived from the tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,11 @@ from duebook.plans import incremental as inc
 from duebook.plans import incremental_list as inc_list
 from duebook.plans import open_items as items
 from duebook.plans import overpayments as over
-from duebook.session import configure, materialize
-from duebook.sinks.csv_chunks import chunk_manifest
+from duebook.session import checkpoint_dir, configure, materialize
+from duebook.sinks.buckets import read_buckets, replace_keys, write_buckets
+from duebook.sinks.csv_chunks import chunk_manifest, read_export, write_chunks
+from duebook.sinks.publish import publish_list, read_published
+from duebook.sources.documents import malformed_runs as malformed
 from duebook.sources.documents import parse_documents
 from duebook.sources.lookups import WITH_VAT_ACCOUNTS
 from duebook.sources.sample_vault import raw_table, sample_vault
@@ -829,3 +833,55 @@ def incremental_bookings(vault):
 @query
 def chunk_rows(spark, folder):
     return chunk_manifest(raw_table(spark, folder, "lineitem"), CHUNK_ROWS)
+
+
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def csv_round_trip(spark, folder):
+    """A second, shorter export leaves nothing of the first; read back from its files."""
+    lines, target = raw_table(spark, folder, "lineitem"), _folder(spark, "export")
+    write_chunks(lines.unionByName(lines), target, "system", "lines", CHUNK_ROWS)
+    write_chunks(lines, target, "system", "lines", CHUNK_ROWS)
+    return read_export(spark, target, "system", "lines", lines.schema)
+
+
+@query
+def bucket_replace(spark, folder):
+    """Orders in folders by key: some not there yet, some with another value, some gone since."""
+    orders, path, keys = raw_table(spark, folder, "orders"), _folder(spark, "orders"), ["o_orderkey"]
+    earlier = orders.filter("o_orderkey % 9 <> 0").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 5 == 0, F.lit(0)).otherwise(F.col("o_totalprice")).cast(orders.schema["o_totalprice"].dataType)
+    )
+    earlier = earlier.unionByName(earlier.filter("o_orderkey % 7 = 0").withColumn("o_orderkey", -F.col("o_orderkey")))
+    write_buckets(earlier, path, keys, 16)
+    changed = inc.signed_changes(earlier, orders, keys)
+    replace_keys(spark, path, orders.schema, changed, updates.keep_using(orders, changed, {"o_orderkey": "o_orderkey"}), keys, 16)
+    return read_buckets(spark, path, orders.schema)
+
+
+@on_vault
+def published_list(vault):
+    """The customer view of a list that was published over an earlier one."""
+    rows = items.payment_bookings(vault["payment_bookings"], vault["payments"], vault["payment_states"], book.journal_bookings(vault))
+    root = _folder(vault.spark, "published")
+    publish_list(rows.limit(0), root, "published_payments")
+    publish_list(rows, root, "published_payments")
+    return items.customer_view(read_published(vault.spark, root))
+
+
+@on_vault
+def missing_source(vault):
+    """Accounts of a vault that has no dunning tables."""
+    present = {name: vault[name] for name in ("billing_account", "billing_account_relationship", "login")}
+    return b.account_rows(Vault(vault.spark, lambda table: present[table]), AS_OF)
+
+
+@on_vault
+def malformed_runs(vault):
+    """Documents cut short in transfer."""
+    cut = F.when(F.col("id") % 41 == 0, F.expr("left(summary, length(summary) - 3)")).otherwise(F.col("summary"))
+    found = malformed(materialize(parse_documents(vault["booking_runs"].withColumn("summary", cut))))
+    return found.select("booking_execution_id", "booking_created")

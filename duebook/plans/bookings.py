@@ -16,7 +16,8 @@ from duebook.functions.dates import german_date, local_date
 from duebook.functions.text import safe_id
 from duebook.operators.joins import member_join
 from duebook.operators.shape import conform, layout, pivot_attributes
-from duebook.sources.documents import SEGMENT_FIELDS, explode_documents, parse_documents
+from duebook.session import materialize
+from duebook.sources.documents import SEGMENT_FIELDS, explode_documents, parse_documents, without_malformed
 from duebook.sources.lookups import ClientLookups
 
 BOOKING_COLUMNS = layout(
@@ -169,7 +170,8 @@ def json_bookings(
 
 def ledger_from_documents(vault, lookups: ClientLookups, documents: DataFrame | None = None) -> Ledger:
     """Ledger tables of the booking runs; pass staged ``documents`` to parse only once."""
-    documents = parse_documents(vault["booking_runs"]) if documents is None else documents
+    if documents is None:
+        documents = without_malformed(materialize(parse_documents(vault["booking_runs"])))
     headers = json_headers(documents)
     return Ledger(
         json_bookings(json_segments(documents), headers, json_raw_segments(documents)),

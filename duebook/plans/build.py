@@ -18,7 +18,7 @@ from duebook.plans.dunning import dunning
 from duebook.plans.overpayments import all_overpayment_dates
 from duebook.plans.write_offs import write_offs
 from duebook.session import materialize
-from duebook.sources.documents import parse_documents
+from duebook.sources.documents import parse_documents, without_malformed
 from duebook.sources.lookups import ClientLookups, client_lookups
 from duebook.sources.vault import Vault
 
@@ -173,17 +173,19 @@ def build(
     match_once: bool = False,
     hot_rows: int | None = HOT_ROWS,
     max_rounds: int | None = due.MAX_REJECTION_ROUNDS,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """The open item and balance list of one client.
 
     ``ledger`` chooses where bookings come from: ``journal`` or ``documents``.  Charges,
     bookings and the unbalanced list are stored in the checkpoint folder because several
     steps read them.  Chains of rejections are followed over ``max_rounds`` links as in the source
-    system, or to their end with None.
+    system, or to their end with None.  A booking run that is no JSON document stops the build, or goes to
+    the folder ``quarantine``.
     """
     lookups = client_lookups(client_id, overlays)
     if ledger == "documents":
-        documents = materialize(parse_documents(vault["booking_runs"]))
+        documents = without_malformed(materialize(parse_documents(vault["booking_runs"])), quarantine)
         books = book.ledger_from_documents(vault, lookups, documents)
     else:
         books = book.LEDGERS[ledger](vault, lookups)

@@ -20,7 +20,8 @@ from duebook.operators.joins import lookup
 from duebook.operators.updates import delete_using, keep_using, replace_by_key
 from duebook.plans.bookings import json_bookings, json_headers, json_raw_segments, json_segments
 from duebook.plans.charges import ENERGY_TAXES, VAT
-from duebook.sources.documents import parse_documents
+from duebook.session import materialize
+from duebook.sources.documents import parse_documents, without_malformed
 
 
 def fingerprints(df: DataFrame, keys: list[str], *columns: str | Column) -> DataFrame:
@@ -203,7 +204,8 @@ def document_fingerprints(booking_runs: DataFrame) -> DataFrame:
 
 def run_bookings(booking_runs: DataFrame) -> DataFrame:
     """Bookings with the run they came from, also where a segment has no header."""
-    documents = parse_documents(booking_runs)
+    # parsed once, read by segments, headers and raw segments
+    documents = without_malformed(materialize(parse_documents(booking_runs)))
     return json_bookings(
         json_segments(documents), json_headers(documents), json_raw_segments(documents), source_run="source_run"
     )

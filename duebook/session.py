@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# the folder of the current run, if stages are to be removed with it
+_RUN: ContextVar[str | None] = ContextVar("duebook_run", default=None)
+
+
+@contextmanager
+def stages(spark: SparkSession):
+    """Keep all stages written inside in one folder and remove it at the end.
+
+    What is made inside has to be written to its own place before the end.
+    """
+    folder = f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from the files.
 
@@ -71,6 +98,14 @@ def materialize(df: DataFrame) -> DataFrame:
     the files do not live on them.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{_RUN.get() or checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stage_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove stages that no later step reads."""
+    for df in stored:
+        remove(df.sparkSession, df.stage_path)

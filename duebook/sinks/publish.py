@@ -34,9 +34,56 @@ def publish_path(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def publish_list(rows: DataFrame, path: str, view: str) -> DataFrame:
-    """Publish the list and register the customer view on it."""
-    published = publish_path(rows, path)
-    restricted = customer_view(published)
+CURRENT = "_CURRENT"
+
+
+def publish_version(df: DataFrame, root: str) -> DataFrame:
+    """Publish ``df`` as a new version under ``root``; readers always find a whole version.
+
+    The data is written to a folder of its own, then the small file ``_CURRENT`` is replaced in one
+    step by one that names it.  The version before stays for readers that have opened it;
+    older ones are removed.
+    """
+    spark = df.sparkSession
+    fs, as_path = _filesystem(spark, root)
+    before = current_version(spark, root)
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{version}")
+    pointer = f"{root}/_{version}"
+    out = fs.create(as_path(pointer), True)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    jvm = spark.sparkContext._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(as_path(root).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(as_path(pointer), as_path(f"{root}/{CURRENT}"), overwrite)
+    for status in fs.listStatus(as_path(root)):
+        if status.isDirectory() and status.getPath().getName() not in (version, before):
+            fs.delete(status.getPath(), True)
+    return spark.read.schema(df.schema).parquet(f"{root}/{version}")
+
+
+def current_version(spark, root: str) -> str | None:
+    """Name of the version that readers see, if there is one."""
+    fs, as_path = _filesystem(spark, root)
+    if not fs.exists(as_path(f"{root}/{CURRENT}")):
+        return None
+    source = fs.open(as_path(f"{root}/{CURRENT}"))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def read_published(spark, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{current_version(spark, root)}")
+
+
+def publish_list(rows: DataFrame, root: str, view: str) -> DataFrame:
+    """Publish the list as a new version and register the customer view on it."""
+    restricted = customer_view(publish_version(rows, root))
     restricted.createOrReplaceTempView(view)
     return restricted

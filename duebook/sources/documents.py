@@ -44,14 +44,48 @@ DOCUMENT = (
 )
 
 
-def parse_documents(booking_runs: DataFrame) -> DataFrame:
-    """Parse every kept run once: (booking_execution_id, booking_created, sap)."""
+# the text of a document that is no JSON
+MALFORMED = "malformed"
+
+
+def _parsed(booking_runs: DataFrame) -> DataFrame:
     kept = booking_runs.filter(F.col("summary").isNotNull() & (F.col("deleted") == 0))
-    return kept.select(
-        F.col("id").alias("booking_execution_id"),
-        F.col("timestamp").alias("booking_created"),
-        F.from_json("summary", DOCUMENT).alias("doc"),
-    ).select("booking_execution_id", "booking_created", "doc.sap")
+    schema = DOCUMENT.removesuffix(">") + f",{MALFORMED}:string>"
+    doc = F.from_json("summary", schema, {"columnNameOfCorruptRecord": MALFORMED})
+    return kept.select(F.col("id").alias("booking_execution_id"), F.col("timestamp").alias("booking_created"), doc.alias("doc"))
+
+
+def parse_documents(booking_runs: DataFrame) -> DataFrame:
+    """Parse every kept run once: (booking_execution_id, booking_created, sap, malformed).
+
+    ``malformed`` holds the text of a run that is no JSON document; such a run has no ``sap``.  Store the
+    result and look at ``malformed_runs`` before it is used.
+    """
+    return _parsed(booking_runs).select("booking_execution_id", "booking_created", "doc.sap", f"doc.{MALFORMED}")
+
+
+def malformed_runs(documents: DataFrame) -> DataFrame:
+    """Runs of ``parse_documents`` that could not be read, with their text."""
+    return documents.filter(F.col(MALFORMED).isNotNull()).select("booking_execution_id", "booking_created", MALFORMED)
+
+
+class MalformedDocuments(ValueError):
+    """Some runs are no JSON documents."""
+
+
+def without_malformed(documents: DataFrame, quarantine: str | None = None) -> DataFrame:
+    """Stored documents that could be read.
+
+    A malformed run stops the load, as a failing cast does, unless ``quarantine`` names a folder to
+    which such runs are appended.
+    """
+    bad = malformed_runs(documents)
+    few = [r[0] for r in bad.select("booking_execution_id").limit(20).collect()]
+    if few and quarantine is None:
+        raise MalformedDocuments(f"booking runs that are no JSON documents: {', '.join(map(str, few))}")
+    if few:
+        bad.write.mode("append").parquet(quarantine)
+    return documents.filter(F.col(MALFORMED).isNull())
 
 
 def explode_documents(documents: DataFrame, array: str, position: bool = False) -> DataFrame:

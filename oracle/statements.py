@@ -1053,6 +1053,18 @@ STATEMENTS: dict[str, str] = {
     "advance_snapshot": "select * from prints",
     "incremental_bookings": """select b.*, s.run_id as source_run from (select row_number() over () as r, * from doc_bookings) b
   join ledger_segments s on false""",
+    "csv_round_trip": "select * from lineitem",
+    "bucket_replace": "select * from orders",
+    "published_list": f"""select {', '.join(c for c in LIST if c not in HIDDEN)} from ({part_payments("journal_rows")}) payments""",
+    "missing_source": f"""select a.ouid as account_ouid, l.ouid as login_ouid, l.externalid as customer_id,
+    coalesce(m.name, a.name) as mba, case when m.ouid is not null then a.name end as cba,
+    coalesce({attr('a.characteristics', 'migrationFlag')}, {attr('m.characteristics', 'migrationFlag')}) as migration_flag,
+    cast(null as date) as dunning_lock_until, cast(null as varchar) as dunning_lock_reason, cast(null as varchar) as dunning_status,
+    cast(null as varchar) as dunning_scenario, cast(null as integer) as dunning_level
+  from billing_account a left join login l on l.customerouid = a.customerouid
+  left join billing_account_relationship r on r.billingaccountouid = a.ouid
+  left join billing_account m on m.ouid = r.targetbillingaccountouid""",
+    "malformed_runs": "select id as booking_execution_id, created as booking_created from kept_runs where id % 41 = 0",
     "chunk_rows": """select cast((n - 1) // 10000 as bigint) as chunk, count(*) as n_rows
   from (select row_number() over () as n from lineitem) x group by 1""",
 }

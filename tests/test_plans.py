@@ -16,7 +16,7 @@ from duebook.plans import incremental as inc
 from duebook.plans import open_items as items
 from duebook.plans import overpayments as over
 from duebook.plans.amount_rules import booked_amount
-from duebook.sources.documents import parse_documents
+from duebook.sources.documents import MalformedDocuments, malformed_runs, parse_documents, without_malformed
 from duebook.sources.lookups import BASE, WITH_VAT_ACCOUNTS, ClientLookups, client_lookups
 
 REJECT, PARTIAL = due.REJECTED_PARENT, due.PARTIAL_PARENT
@@ -354,10 +354,24 @@ def test_incremental_bookings_equal_a_full_load(vault, rows):
     assert rows(same) == rows(result)
 
 
-def test_documents_are_read_once_per_staging(vault):
+def test_documents_are_parsed_once(vault, capsys):
+    """Whatever reads segments, headers, raw segments and tax rows reads the stored documents."""
     v = vault(booking_runs=[run(1)])
+    book.ledger_from_documents(v, WITH_VAT_ACCOUNTS).tax_bookings.explain("extended")
+    inc.run_bookings(v["booking_runs"]).explain("extended")
+    assert "from_json" not in capsys.readouterr().out
+
+
+def test_malformed_documents_stop_or_go_aside(vault, spark, rows, tmp_path):
+    v = vault(booking_runs=[run(1), run(2, DOCUMENT[:-5]), run(3, "[]x"), run(4, DOCUMENT[:-5], deleted=1), run(5, summary=None), run(6, "{}")])
     documents = parse_documents(v["booking_runs"])
-    assert documents.columns == ["booking_execution_id", "booking_created", "sap"]
+    assert rows(malformed_runs(documents), "booking_execution_id") == [("2",), ("3",)]
+    with pytest.raises(MalformedDocuments, match="2, 3|3, 2"):
+        inc.run_bookings(v["booking_runs"])
+    aside = str(tmp_path / "quarantine")
+    kept = without_malformed(documents, aside)
+    assert rows(kept, "booking_execution_id") == [("1",), ("6",)]
+    assert rows(spark.read.parquet(aside), "booking_execution_id") == [("2",), ("3",)]
 
 
 def test_booking_stream(vault, spark, rows, tmp_path):
@@ -370,6 +384,18 @@ def test_booking_stream(vault, spark, rows, tmp_path):
     expected = inc.run_bookings(vault(booking_runs=[run(1), run(3)])["booking_runs"])
     assert rows(current_bookings(spark, target)) == rows(expected)
 
+    # an older version that arrives late, and another checkpoint, change nothing and lose nothing
+    late = run(3, DOCUMENT.replace("12,30", "99,99")) | {"timestamp": "2023-12-31 00:00:00"}
+    vault(booking_runs=[late, run(2) | {"timestamp": "2023-12-01 00:00:00"}])["booking_runs"].write.mode("append").parquet(source)
+    stream_bookings(spark, source, target, str(tmp_path / "cp")).awaitTermination()
+    assert rows(current_bookings(spark, target)) == rows(expected)
+    stream_bookings(spark, source, target, str(tmp_path / "cp2")).awaitTermination()
+    assert rows(current_bookings(spark, target)) == rows(expected)
+    vault(booking_runs=[run(4) | {"timestamp": "2024-02-01 00:00:00"}, run(1, deleted=1) | {"timestamp": "2024-02-01 00:00:00"}])["booking_runs"].write.mode("append").parquet(source)
+    stream_bookings(spark, source, target, str(tmp_path / "cp2")).awaitTermination()
+    newer = vault(booking_runs=[run(3), run(4) | {"timestamp": "2024-02-01 00:00:00"}])["booking_runs"]
+    assert rows(current_bookings(spark, target)) == rows(inc.run_bookings(newer))
+
 
 def test_day_bounds_reach_the_scan(spark, tmp_path, capsys):
     """The bound is compared with the bare column, so parquet skips files and row groups."""

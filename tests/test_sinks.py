@@ -5,8 +5,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from duebook.plans.open_items import CUSTOMER_COLUMNS, LIST_COLUMNS, customer_view
-from duebook.sinks.csv_chunks import chunk_manifest, delivery_path, export_table, file_name, write_chunks
-from duebook.sinks.publish import publish_path
+from duebook.sinks.buckets import read_buckets, replace_keys, write_buckets
+from duebook.sinks.csv_chunks import chunk_manifest, delivery_path, export_table, file_name, read_export, write_chunks
+from duebook.sinks.publish import publish_path, publish_version, read_published
 
 
 def lines(path):
@@ -21,7 +22,93 @@ def test_chunks_are_exact(spark, tmp_path):
     assert [lines(f).count("\n") for f in files] == [11, 11, 6]
     ids = sorted(int(x) for f in files for x in lines(f).split()[1:])
     assert ids == list(range(25))
-    assert sorted(p for p in os.listdir(tmp_path) if not p.startswith(".")) == [os.path.basename(f) for f in files]
+    found = sorted(p for p in os.listdir(tmp_path) if not p.startswith("."))
+    assert found == ["system_large.json", *[os.path.basename(f) for f in files]]
+    assert read_export(spark, str(tmp_path), "system", "large", df.schema).count() == 25
+
+
+def test_a_shorter_export_leaves_nothing_stale(spark, tmp_path):
+    target = str(tmp_path)
+    write_chunks(spark.range(95), target, "system", "large", 10)
+    write_chunks(spark.range(5), target, "system", "large_other", 10)
+    write_chunks(spark.range(25), target, "system", "large", 10)
+    names = sorted(p for p in os.listdir(target) if p.endswith(".csv"))
+    assert names == ["system_large_0000.csv", "system_large_0001.csv", "system_large_0002.csv", "system_large_other_0000.csv"]
+    write_chunks(spark.range(0), target, "system", "large", 10)
+    assert [p for p in os.listdir(target) if p.endswith(".csv")] == ["system_large_other_0000.csv"]
+    assert read_export(spark, target, "system", "large", "id long").isEmpty()
+
+
+def test_a_failed_export_keeps_the_old_one(spark, tmp_path):
+    target = str(tmp_path)
+    write_chunks(spark.range(25), target, "system", "large", 10)
+    before = sorted(os.listdir(target))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        write_chunks(spark.range(5).select((F.lit(1) / (F.col("id") - 3)).alias("id")), target, "system", "large", 10, staged=True)
+    assert sorted(os.listdir(target)) == before
+    assert read_export(spark, target, "system", "large", "id long").count() == 25
+
+
+def test_versions_are_switched_by_one_file(spark, tmp_path):
+    root = str(tmp_path / "list")
+    first = publish_version(spark.range(3), root)
+    second = publish_version(read_published(spark, root).withColumn("id", F.col("id") + 10), root)
+    # readers of the version before still find their files
+    assert first.count() == 3 and sorted(r.id for r in second.collect()) == [10, 11, 12]
+    publish_version(spark.range(1), root)
+    assert read_published(spark, root).count() == 1
+    assert len([p for p in os.listdir(root) if p.startswith("version-")]) == 2
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        publish_version(spark.range(5).select((F.lit(1) / (F.col("id") - 3)).alias("id")), root)
+    assert read_published(spark, root).count() == 1
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    path, keys = str(tmp_path / "table"), ["k"]
+    df = spark.range(200).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    write_buckets(df, path, keys, 8)
+
+    def files():
+        return {os.path.join(at, n) for at, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+    before = files()
+    affected = spark.createDataFrame([(7,), (None,)], "k long")
+    fresh = spark.createDataFrame([(7, -1), (51, -2), (None, 3)], "k long, v long")
+    touched = replace_keys(spark, path, df.schema, affected, fresh, keys, 8)
+    expected = df.filter("k <> 7").unionByName(fresh)
+    got = read_buckets(spark, path, df.schema)
+    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    kept = {f for f in before if int(f.split("bucket=")[1].split("/")[0]) not in touched}
+    assert kept and kept <= files() and 0 < len(touched) < 8
+    # a bucket that loses its last row disappears
+    number = touched[0]
+    own = got.filter(F.pmod(F.xxhash64("k"), F.lit(8)) == number).select("k").distinct()
+    replace_keys(spark, path, df.schema, own.filter("k is not null"), fresh.limit(0), keys, 8)
+    assert read_buckets(spark, path, df.schema).filter(F.pmod(F.xxhash64("k"), F.lit(8)) == number).filter("k is not null").isEmpty()
+    assert replace_keys(spark, path, df.schema, affected.limit(0), fresh.limit(0), keys, 8) == []
+
+
+def test_a_run_delivers_and_cleans_up(spark, vault, tmp_path):
+    import datetime as dt
+
+    from duebook.plans.run import run
+    from duebook.session import checkpoint_dir
+
+    v = vault(
+        payment_bookings=[{"id": "a", "payment_id": "p", "payment_state_id": "s", "sap_id": "d"}],
+        payments=[{"id": "p", "amount": 5}],
+        payment_states=[{"id": "s", "payment_status": "OK"}],
+        summaries=[{"uuid": "s", "export": "true", "create_time": "2024-03-02 00:00:00"}],
+        journal_entries=[{"uuid": "e", "summaries_uuid": "s", "id": "d"}],
+        journal_entry_items=[{"uuid": "i1", "journal_entries_uuid": "e", "amount": -1230}],
+    )
+    before = set(os.listdir(checkpoint_dir(spark).removeprefix("file:")))
+    result = run(v, dt.date(2024, 3, 3), "client", "prod", str(tmp_path / "list"), str(tmp_path / "out"), ["one", "two"])
+    assert [os.path.relpath(f, tmp_path / "out") for f in result.exported["two"]] == ["client/prod/two_open_items_customer_0000.csv"]
+    assert lines(result.exported["one"][0]).count("\n") == 2
+    assert lines(result.archived[0]).startswith(",".join(LIST_COLUMNS))
+    left = set(os.listdir(checkpoint_dir(spark).removeprefix("file:"))) - before
+    assert not [name for name in left if name.startswith("run-") or name.startswith("stage-")]
 
 
 @pytest.mark.parametrize("total, size, expected", [(100, 1000, 1), (1000, 1000, 1), (2500, 1000, 3), (1001, 1000, 2)])
