@@ -26,13 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import encoder, table
+from duebook.llm.shared import CachedEncoder, batches, table
 from duebook.session import materialize
 
 CAPACITY = 4096
 END = 1
-# chunks in each generation of the encoder's cache: some 20 MB, which idle workers hold while other stages run
-CACHED = 60_000
+BATCH_BYTES = 2 << 20
 
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, local_rank long"
 
@@ -44,16 +43,18 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = E
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode, seen = encoder(path, CACHED), [0] * (capacity + 1)
-        close = np.array([end], "<u4").tobytes()
-        for batch in rows:
+        # the encoder and its chunks end with the task
+        encoder, seen = CachedEncoder(path), [0] * (capacity + 1)
+        close = np.array([end], "<u4")
+        for batch in batches(rows, "text", BATCH_BYTES):
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + close
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
-                    n = len(own) // 4
-                    out.append((doc_id, piece, at // 4, n, zlib.crc32(own), part, seen[n]))
+            texts = encoder.encode_all(batch.column(1).to_pylist())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), texts, strict=True):
+                ids = np.append(ids, close)
+                for piece, at in enumerate(range(0, len(ids), capacity)):
+                    own = ids[at : at + capacity]
+                    n = len(own)
+                    out.append((doc_id, piece, at, n, zlib.crc32(own.tobytes()), part, seen[n]))
                     seen[n] += 1
             if out:
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]

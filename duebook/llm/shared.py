@@ -79,9 +79,29 @@ def batches(rows: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iter
             yield batch.slice(start)
 
 
-# letters that no other character combines with under case folding or normalisation
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_NOT_LETTER = "(?=[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]|$)"
+# letters that no other character combines with under case folding or normalisation: ASCII ones, and those of
+# Latin-1, which are the byte C3 and one more in UTF-8, but for the signs of multiplication and division
+_ASCII_LETTERS = np.zeros(256, bool)
+_ASCII_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+_LATIN_LEAD, _SIGNS = 0xC3, (0x97, 0xB7)
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """True for each byte that is part of a letter."""
+    found = _ASCII_LETTERS[data]
+    lead = np.flatnonzero(data[:-1] == _LATIN_LEAD)
+    after = data[lead + 1]
+    lead = lead[(after != _SIGNS[0]) & (after != _SIGNS[1])]
+    found[lead] = found[lead + 1] = True
+    return found
+
+
+@lru_cache(maxsize=4)
+def _library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 class CachedEncoder:
@@ -89,27 +109,26 @@ class CachedEncoder:
 
     Both vocabularies used here never join characters across a single space or line feed
     between two other characters, nor across the end of a run of letters before an ASCII
-    character that is no letter.  A text is cut there; chunks not seen before go to the
-    library in one call, joined by a ``separator`` that is always one token of its own.
-    Texts with other or repeated white space, or with a separator, go to the library whole.
-    ``tests/llm`` compares the ids with those of uncut texts.  Two generations of at most
-    ``limit`` chunks are kept; chunks in use move to the younger one.
+    character that is no letter.  All texts of a batch are cut there at once; chunks not seen before
+    go to the library in one call, joined by a separator that is always one token of its own, and
+    the ids of the texts are gathered from one packed buffer.  Texts with other or repeated
+    white space, or with a separator, go to the library whole.  ``tests/llm`` compares the ids with
+    those of uncut texts.  Beyond ``limit`` chunks the buffer starts anew; it belongs to one task and ends with it.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.limit, self.young, self.old = limit, {}, {}
+    def __init__(self, path: str, limit: int = 400_000):
+        self.library, self.limit = _library(path), limit
         # a vocabulary that keeps white space has a token for the line feed
         kept = self._ids("\n")
-        if len(kept) == 1:
-            self.separator, self.chunks = "\n", re.compile(f" ?[{_LETTERS}]+{_NOT_LETTER}| ?[^ \n]+|\n").findall
-        else:
-            self.separator, self.chunks = " \x01 ", re.compile(f"[{_LETTERS}]+{_NOT_LETTER}|[^ \n]+").findall
-            kept = self._ids("\x01")
-        (self.mark,) = kept
+        self.keeps_white = len(kept) == 1
+        self.separator = "\n" if self.keeps_white else " \x01 "
+        (self.mark,) = kept if self.keeps_white else self._ids("\x01")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.packed, self.ends = [np.empty(0, "<u4")], [np.zeros(1, np.int64)]
+        self.size = 0
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -120,39 +139,81 @@ class CachedEncoder:
             return True
         return "  " in text or "\n\n" in text or " \n" in text or "\n " in text
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        missing = [c for c in dict.fromkeys(chunks) if c not in young]
-        new = [c for c in missing if c not in old and c != "\n"]
-        young.update((c, old[c]) for c in missing if c in old)
-        if "\n" in missing:
-            young["\n"] = np.array([self.mark], "<u4").tobytes()
+    def _chunks(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the chunks of texts joined by line feeds."""
+        white = (data == 32) | (data == 10)
+        starts = np.flatnonzero(~white & np.append(True, white[:-1]))
+        ends = np.flatnonzero(~white & np.append(white[1:], True)) + 1
+        other = np.append(np.flatnonzero(~_letters(data)), len(data))
+        # a word that starts with letters and goes on with an ASCII sign is cut there
+        stop = other[np.searchsorted(other, starts)]
+        cut = (stop > starts) & (stop < ends)
+        cut[cut] = data[stop[cut]] < 128
+        first = starts - (np.append(10, data)[starts] == 32) if self.keeps_white else starts
+        own, cut_at = [first, stop[cut]], [np.where(cut, stop, ends), ends[cut]]
+        if self.keeps_white:
+            lines = np.flatnonzero(data == 10)
+            own.append(lines)
+            cut_at.append(lines + 1)
+        own, cut_at = np.concatenate(own), np.concatenate(cut_at)
+        order = np.argsort(own, kind="stable")
+        return own[order], cut_at[order]
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Encode new chunks and add their ids to the packed buffer."""
+        words = [c for c in chunks if c != b"\n"]
+        ids = self._ids(self.separator.join([w.decode() for w in words])) if words else np.empty(0, "<u4")
+        marks = ids == self.mark
+        self.known.update((w, self.size + i) for i, w in enumerate(words))
+        lengths = np.diff(np.append(np.flatnonzero(marks), len(ids)), prepend=-1) - 1 if words else np.empty(0, np.int64)
+        ids = ids[~marks]
+        if len(words) < len(chunks):
+            self.known[b"\n"] = self.size + len(words)
+            ids, lengths = np.append(ids, np.array([self.mark], "<u4")), np.append(lengths, 1)
+        self.size += len(lengths)
+        self.packed.append(ids)
+        self.ends.append(self.ends[-1][-1] + np.cumsum(lengths))
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        out: list[np.ndarray] = [np.empty(0, "<u4")] * len(texts)
+        plain = [i for i, t in enumerate(texts) if t and not self._odd(t)]
+        for i in sorted({i for i, t in enumerate(texts) if t} - set(plain)):
+            out[i] = self._ids(texts[i])
+        if not plain:
+            return out
+        parts = [texts[i].encode() for i in plain]
+        whole = b"\n".join(parts)
+        data = np.frombuffer(whole, np.uint8)
+        starts, ends = self._chunks(data)
+        begins = np.cumsum([0, *[len(p) + 1 for p in parts]])
+        if self.keeps_white:
+            # the line feeds between two texts belong to none
+            keep = np.ones(len(starts), bool)
+            keep[np.searchsorted(starts, begins[1:-1] - 1)] = False
+            starts, ends = starts[keep], ends[keep]
+        offsets = np.append(0, np.cumsum(ends - starts))
+        bytes_of = np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[bytes_of])]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if self.size > self.limit:
+            self._forget()
+        new = [c for c in distinct if c not in self.known]
         if new:
-            ids = self._ids(self.separator.join(new))
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
-            data, start = ids.tobytes(), 0
-            for chunk, end in zip(new, ends, strict=True):
-                young[chunk] = data[4 * start : 4 * end]
-                start = end + 1
+            self._learn(new)
+        if len(self.packed) > 1:
+            self.packed, self.ends = [np.concatenate(self.packed)], [np.concatenate(self.ends)]
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[np.asarray(coded.indices)]
+        low, high = self.ends[0][at], self.ends[0][at + 1]
+        places = np.append(0, np.cumsum(high - low))
+        ids = self.packed[0][np.repeat(low - places[:-1], high - low) + np.arange(places[-1])]
+        # the chunks of a text start before the next text
+        of_text = places[np.searchsorted(starts, begins, side="left")]
+        for i, a, z in zip(plain, of_text.tolist(), of_text[1:].tolist(), strict=False):
+            out[i] = ids[a:z]
+        return out
 
     def __call__(self, text: str | None) -> bytes:
-        """Ids of ``text`` as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if self._odd(text):
-            return self._ids(text).tobytes()
-        chunks = self.chunks(text)
-        found = [*map(self.young.get, chunks)]
-        if None in found:
-            # the chunks of this text stay in the younger generation until it is done
-            self._learn(chunks)
-            found = [*map(self.young.__getitem__, chunks)]
-        return b"".join(found)
-
-
-@lru_cache(maxsize=4)
-def encoder(path: str, limit: int = 600_000) -> CachedEncoder:
-    """The encoder of a vocabulary file, loaded once per Python worker."""
-    return CachedEncoder(path, limit)
+        """Ids of one text as little-endian unsigned 32-bit integers."""
+        return self.encode_all([text])[0].tobytes()

@@ -26,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import encoder, table
+from duebook.llm.shared import CachedEncoder, batches, table
 from duebook.session import materialize
 
 CHUNK_BITS = 8
 RANK_STEP = 512
 SEGMENT_TOKENS = 1 << 20
 END = 2
+BATCH_BYTES = 2 << 20
 
-_FILE = "part int, segment int, n_tokens long, doc_ids array<long>, ends array<long>, codes binary"
+_FILE = "part int, segment int, start long, n_tokens long, doc_ids array<long>, ends array<long>, codes binary"
 
 
 class Codes:
@@ -108,26 +109,26 @@ def _segments(path: str, end: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number = TaskContext.get().partitionId(), 0
-        encode = encoder(path)
-        close = np.array([end], "<u4").tobytes()
+        part, number, start = TaskContext.get().partitionId(), 0, 0
+        encoder = CachedEncoder(path)
+        close = np.array([end], "<u4")
         doc_ids, ends, ids, n = [], [], [], 0
 
         def segment() -> pa.RecordBatch:
-            codes = Codes.encode(np.frombuffer(b"".join(ids), "<u4"))
-            values = [[part], [number], [n], [doc_ids], [ends], [codes]]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            names = ["part", "segment", "n_tokens", "doc_ids", "ends", "codes"]
+            codes = Codes.encode(np.concatenate(ids))
+            values = [[part], [number], [start], [n], [doc_ids], [ends], [codes]]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            names = ["part", "segment", "start", "n_tokens", "doc_ids", "ends", "codes"]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names=names)
 
-        for batch in rows:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                new = encode(text.as_py()) + close
-                if n and n + len(new) // 4 > SEGMENT_TOKENS:
+        for batch in batches(rows, "text", BATCH_BYTES):
+            texts = encoder.encode_all(batch.column(1).to_pylist())
+            for doc_id, new in zip(batch.column(0).to_pylist(), texts, strict=True):
+                if n and n + len(new) + 1 > SEGMENT_TOKENS:
                     yield segment()
-                    doc_ids, ends, ids, n, number = [], [], [], 0, number + 1
-                ids.append(new)
-                n += len(new) // 4
+                    doc_ids, ends, ids, n, number, start = [], [], [], 0, number + 1, start + n
+                ids += [new, close]
+                n += len(new) + 1
                 doc_ids.append(doc_id)
                 ends.append(n)
         if n:
@@ -148,44 +149,41 @@ def write_codes(docs: DataFrame, path: str, end: int = END) -> DataFrame:
 
 
 def _documents(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents of each segment: place in it, length and checksum."""
+    """The documents of each segment: place in the writer's part, length and checksum.
+
+    The first and the last id of every document are also read by direct access, through the
+    rank directories, and must equal those of the decoded levels.
+    """
     for batch in rows:
         for k in range(batch.num_rows):
-            part, number, doc_ids, ends, codes = (batch.column(i)[k].as_py() for i in range(5))
-            ids = Codes(codes).decode().astype("<u4", copy=False)
+            part, start, doc_ids, ends, data = (batch.column(i)[k].as_py() for i in range(5))
+            codes = Codes(data)
+            ids = codes.decode().astype("<u4", copy=False)
             starts = [0, *ends[:-1]]
+            for at in {*starts, *(e - 1 for e in ends)}:
+                if codes[at] != ids[at]:
+                    raise ValueError(f"id {at} of a segment differs between direct access and decoding")
             checks = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
             n = len(ends)
-            arrays = [pa.array([part] * n, pa.int32()), pa.array([number] * n, pa.int32()), pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64())]
+            arrays = [pa.array([part] * n, pa.int32()), pa.array(doc_ids, pa.int64()), pa.array([start + a for a in starts], pa.int64())]
             arrays += [pa.array([b - a for a, b in zip(starts, ends, strict=True)], pa.int64()), pa.array(checks, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["part", "segment", "doc_id", "place", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["part", "doc_id", "place", "n_tokens", "ids_crc32"])
 
 
 def read_documents(segments: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) read back from written segments."""
     spark = segments.sparkSession
-    # one row a segment: first totals of partitions (as many as the writer had), then places within each
+    # the totals of the writer's partitions, as many as it had; places within them are stored
     parts = segments.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
     before, total = [], 0
     for row in parts:
         before.append((row["part"], total))
         total += row["n"]
     offsets = F.broadcast(spark.createDataFrame(before, "part int, part_start long"))
-    rows = segments.select("part", "segment", "doc_ids", "ends", "codes").mapInArrow(
-        _documents, "part int, segment int, doc_id long, place long, n_tokens long, ids_crc32 long"
-    )
-    own = segments.select("part", "segment", "n_tokens")
-    earlier = (
-        own.alias("a")
-        .join(own.alias("b"), (F.col("a.part") == F.col("b.part")) & (F.col("a.segment") > F.col("b.segment")))
-        .groupBy(F.col("a.part").alias("part"), F.col("a.segment").alias("segment"))
-        .agg(F.sum("b.n_tokens").alias("earlier"))
-    )
-    return (
-        rows.join(offsets, "part")
-        .join(earlier, ["part", "segment"], "left")
-        .select("doc_id", (F.col("part_start") + F.coalesce("earlier", F.lit(0)) + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+    rows = segments.select("part", "start", "doc_ids", "ends", "codes").mapInArrow(
+        _documents, "part int, doc_id long, place long, n_tokens long, ids_crc32 long"
     )
+    return rows.join(offsets, "part").select("doc_id", (F.col("part_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
