@@ -115,9 +115,8 @@ def pattern_match_once(spark, folder):
 @query
 def update_from_orders(spark, folder):
     customers = raw_table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    urgent = raw_table(spark, folder, "orders").filter(F.col("o_orderstatus") == "P")
     # a matched null overwrites as well
-    source = urgent.select(
+    source = raw_table(spark, folder, "orders").select(
         "o_custkey", F.when(F.col("o_custkey") % 3 != 0, F.col("o_orderpriority")).alias("priority")
     )
     return updates.update_from(customers, source, {"c_custkey": "o_custkey"}, {"c_mktsegment": "priority"})
@@ -163,8 +162,7 @@ def semi_join(spark, folder):
 
 @query
 def full_outer_merge(spark, folder):
-    orders = raw_table(spark, folder, "orders").filter(F.col("o_orderstatus") == "P")
-    events = raw_table(spark, folder, "events").filter(F.col("event_type") == "purchase")
+    orders, events = raw_table(spark, folder, "orders"), raw_table(spark, folder, "events")
     by_customer = orders.groupBy(F.col("o_custkey").alias("person")).agg(F.count(F.lit(1)).alias("n_orders"))
     by_user = events.groupBy((F.col("user_id") * 2).alias("person")).agg(F.count(F.lit(1)).alias("n_events"))
     return joins.full_merge(by_customer, by_user, "person")
@@ -172,15 +170,11 @@ def full_outer_merge(spark, folder):
 
 @query
 def hour_join(spark, folder):
-    events = raw_table(spark, folder, "events")
-    bought = events.filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("purchase_id"), "user_id", hour_of("ts").alias("hour")
-    )
-    failed = events.filter(F.col("event_type") == "error").select(
-        F.col("event_id").alias("error_id"), F.col("user_id").alias("e_user"), hour_of("ts").alias("e_hour")
-    )
-    match = (F.col("user_id") == F.col("e_user")) & (F.col("hour") == F.col("e_hour"))
-    return bought.join(failed, match).select("purchase_id", "error_id", "user_id", "hour")
+    """Pairs of events of a user within the same hour."""
+    events = raw_table(spark, folder, "events").select("event_id", "user_id", hour_of("ts").alias("hour"))
+    later = events.select(F.col("event_id").alias("later_id"), F.col("user_id").alias("l_user"), F.col("hour").alias("l_hour"))
+    match = (F.col("user_id") == F.col("l_user")) & (F.col("hour") == F.col("l_hour")) & (F.col("event_id") < F.col("later_id"))
+    return events.join(later, match).select("event_id", "later_id", "user_id", "hour")
 
 
 @query
@@ -188,13 +182,10 @@ def abs_join(spark, folder):
     def cents(name):
         return F.round(F.col(name) * 100).cast("bigint")
 
-    lines = raw_table(spark, folder, "lineitem").filter(F.col("l_linenumber") == 1).select(
-        "l_orderkey", "l_partkey", "l_suppkey", (-cents("l_extendedprice")).alias("paid")
-    )
-    prices = raw_table(spark, folder, "lineitem").filter(F.col("l_linenumber") == 2).select(
-        F.col("l_orderkey").alias("other_order"), cents("l_extendedprice").alias("price")
-    ).distinct()
-    return lines.join(prices, F.abs("paid") == F.abs("price")).select("l_orderkey", "l_partkey", "l_suppkey", "other_order", "paid")
+    lines = raw_table(spark, folder, "lineitem")
+    paid = lines.select("l_orderkey", "l_partkey", "l_suppkey", (-cents("l_extendedprice")).alias("paid"))
+    prices = lines.select(F.col("l_orderkey").alias("other_order"), cents("l_extendedprice").alias("price")).distinct()
+    return paid.join(prices, F.abs("paid") == F.abs("price")).select("l_orderkey", "l_partkey", "l_suppkey", "other_order", "paid")
 
 
 @query
@@ -654,7 +645,9 @@ def payment_bookings(vault):
 
 @on_vault
 def fix_imbalance(vault):
-    rows = items.booked_balances(b.balance_rows(vault), book.journal_bookings(vault))
+    bookings = book.journal_bookings(vault)
+    paid = items.payment_bookings(vault["payment_bookings"], vault["payments"], vault["payment_states"], bookings)
+    rows = items.booked_balances(b.balance_rows(vault), bookings).unionByName(paid)
     return items.fix_imbalance(materialize(rows))
 
 

@@ -787,6 +787,7 @@ PARTS |= {
     "ruled_journal": part_ruled("journal_rows"),
     "ruled_docs": part_ruled("doc_bookings"),
     "balance_list": part_balances("journal_rows"),
+    "balance_and_payment_list": f"select * from ({part_balances('journal_rows')}) x union all select * from ({part_payments('journal_rows')}) y",
 }
 for _suffix, _ledger, _tax, _heads, _ruled in (
     ("journal", "journal_rows", "journal_tax", "exported", "ruled_journal"),
@@ -911,7 +912,7 @@ STATEMENTS: dict[str, str] = {
   qualify {_FIRST.format('p_partkey', 'i')}""",
     "update_from_orders": """select c_custkey, case when o.k is null then c_mktsegment else o.p end as c_mktsegment
   from customer left join (select o_custkey as k, min(case when o_custkey % 3 <> 0 then o_orderpriority end) as p
-    from orders where o_orderstatus = 'P' group by 1) o on o.k = c_custkey""",
+    from orders group by 1) o on o.k = c_custkey""",
     "fill_if_null": """select c_custkey, coalesce(case when c_acctbal > 0 then c_mktsegment end, p) as segment
   from customer left join (select o_custkey as k, min(o_orderpriority) as p from orders group by 1) o on o.k = c_custkey""",
     "conditional_update": """select o_orderkey, if(o_orderstatus <> 'P' and o_orderpriority = '1-URGENT', 'U', o_orderstatus)
@@ -922,15 +923,15 @@ STATEMENTS: dict[str, str] = {
     "semi_join": """select o_orderkey, o_custkey from orders
   where o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R')""",
     "full_outer_merge": """select coalesce(a.p, b.p) as person, n_orders, n_events
-  from (select o_custkey as p, count(*) as n_orders from orders where o_orderstatus = 'P' group by 1) a
-  full join (select user_id * 2 as p, count(*) as n_events from events where event_type = 'purchase' group by 1) b
+  from (select o_custkey as p, count(*) as n_orders from orders group by 1) a
+  full join (select user_id * 2 as p, count(*) as n_events from events group by 1) b
     on a.p = b.p""",
-    "hour_join": """select a.event_id as purchase_id, b.event_id as error_id, a.user_id, date_trunc('hour', a.ts) as hour
+    "hour_join": """select a.event_id, b.event_id as later_id, a.user_id, date_trunc('hour', a.ts) as hour
   from events a join events b on a.user_id = b.user_id and date_trunc('hour', a.ts) = date_trunc('hour', b.ts)
-  where a.event_type = 'purchase' and b.event_type = 'error'""",
+  where a.event_id < b.event_id""",
     "abs_join": f"""select a.l_orderkey, a.l_partkey, a.l_suppkey, b.o as other_order, -{_CENTS.format('a.l_extendedprice')} as paid
-  from lineitem a join (select distinct l_orderkey as o, {_CENTS.format('l_extendedprice')} as price from lineitem
-    where l_linenumber = 2) b on abs(-{_CENTS.format('a.l_extendedprice')}) = abs(b.price) where a.l_linenumber = 1""",
+  from lineitem a join (select distinct l_orderkey as o, {_CENTS.format('l_extendedprice')} as price from lineitem) b
+    on abs(-{_CENTS.format('a.l_extendedprice')}) = abs(b.price)""",
     "running_numbers": """select event_id, user_id, event_type,
     row_number() over (partition by event_type order by user_id, event_id) as number from events""",
     "running_occurrences": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as integer) as quantity,
@@ -1035,7 +1036,7 @@ STATEMENTS: dict[str, str] = {
     "booked_balances": "select * from balance_list",
     "booked_taxes": part_taxes("journal_tax", "exported"),
     "payment_bookings": part_payments("journal_rows"),
-    "fix_imbalance": balanced_list("balance_list"),
+    "fix_imbalance": balanced_list("balance_and_payment_list"),
     "open_item_list": balanced_list("list_journal"),
     "customer_view": f"""select {', '.join(c for c in LIST if c not in HIDDEN)} from ({balanced_list('list_docs')}) whole""",
     "row_fingerprints": "select * from prints",
