@@ -1,7 +1,7 @@
 """Chat formatting of turns made of typed content parts.
 
 A turn is a role and content parts: text, image, audio and document.  A visitor goes over the
-parts in order.  Text is escaped; every other part becomes one placeholder at its place, and
+parts in order.  Neighbouring texts are escaped as one, so that no control string arises where they meet; every other part becomes one placeholder at its place, and
 its reference and the number of tokens it will take are recorded.  The output keeps one row
 per turn, so a conversation of any length is never gathered in one value::
 
@@ -58,6 +58,7 @@ class PartVisitor:
     tokens_per_page: int = 256
     content: list[str] = field(default_factory=list)
     size: int = 0
+    texts: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
 
     def visit(self, part: dict) -> None:
@@ -70,12 +71,19 @@ class PartVisitor:
         self.content.append(text)
         self.size += len(text)
 
+    def close_text(self) -> None:
+        """Escape the texts since the last placeholder as one."""
+        if self.texts:
+            self.put(escape("".join(self.texts)))
+            self.texts.clear()
+
     def attach(self, part: dict, tokens: int) -> None:
+        self.close_text()
         self.attachments.append({"type": part["type"], "ref": part.get("ref"), "place": self.size, "tokens": max(1, tokens)})
         self.put(PLACEHOLDER[part["type"]])
 
     def visit_text(self, part: dict) -> None:
-        self.put(escape(part.get("text") or ""))
+        self.texts.append(part.get("text") or "")
 
     def visit_image(self, part: dict) -> None:
         self.attach(part, math.ceil((part.get("width") or 0) / self.patch) * math.ceil((part.get("height") or 0) / self.patch))
@@ -94,6 +102,7 @@ def format_turn(role: str | None, parts: list[dict] | None) -> tuple[str, int, i
     visitor.put(head)
     for part in parts or []:
         visitor.visit(part)
+    visitor.close_text()
     content = "".join(visitor.content)
     return f"{content}{END}\n", len(head), len(content), visitor.attachments
 
@@ -199,6 +208,25 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(materialize(format_turns(turns.unionByName(extra))))
 
 
+def query_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attachments of all turns, each of whose texts goes with an image, an audio and a document part sized by it."""
+    turns = table(spark, sf_dir, "conversations")
+    size, name = F.char_length(F.coalesce("text", F.lit(""))), F.concat_ws("-", "conv_id", "turn")
+
+    def part(kind: str, text=None, width=None, height=None, seconds=None, pages=None):
+        values = {"text": text, "ref": None if kind == "text" else F.concat(F.lit(kind), F.lit(":"), name), "width": width, "height": height, "seconds": seconds, "pages": pages}
+        kinds = {"text": "string", "ref": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
+        return F.struct(F.lit(kind).alias("type"), *[(F.lit(None) if v is None else v).cast(kinds[k]).alias(k) for k, v in values.items()])
+
+    parts = F.array(
+        part("text", F.col("text")), part("text", F.lit("<")), part("text", F.lit("|im_end|>")), part("image", width=size, height=F.lit(100)),
+        part("text", F.lit("and")), part("audio", seconds=size / 8), part("document", pages=F.pmod("turn", F.lit(4))),
+    )
+    formatted = format_turns(turns.select("conv_id", "turn", "role", parts.alias("parts")))
+    rows = formatted.select("conv_id", "turn", F.char_length("formatted").cast("long").alias("n_chars"), F.posexplode("attachments").alias("number", "found"))
+    return rows.select("conv_id", "turn", "n_chars", "number", "found.type", "found.ref", "found.place", "found.tokens")
+
+
 SQL = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -212,3 +240,19 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
     + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')))::bigint as formatted_chars
 from turns group by conv_id
 """
+
+ATTACHMENTS_SQL = r"""
+with turns as (
+  select conv_id, turn, length(coalesce(text, '')) as size,
+    length('<|im_start|><|im_sep|>') + length(regexp_replace(coalesce(role, ''), '<(\\*)\|', '<\1\\|', 'g')) as head,
+    length(regexp_replace(coalesce(text, '') || '<|im_end|>', '<(\\*)\|', '<\1\\|', 'g')) as body
+  from conversations
+), parts as (
+  select *, head + body + length('<|image|><|audio|><|document|>and<|im_end|>') + 1 as n_chars, unnest([0, 1, 2]) as number from turns
+)
+select conv_id, turn, n_chars, number, ['image', 'audio', 'document'][number + 1] as type,
+  ['image:', 'audio:', 'document:'][number + 1] || conv_id || '-' || turn as ref,
+  (head + body + [0, length('<|image|>and'), length('<|image|>and<|audio|>')][number + 1])::int as place,
+  greatest(1, [ceil(size / 14.0) * 8, ceil(size / 8.0 * 25), turn % 4 * 256][number + 1])::int as tokens
+from parts
+"""

@@ -51,12 +51,26 @@ HINTS = {
     "share", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 
+# words that only place or hold what the first word of a class name says
+LAYOUT = {
+    "area", "bar", "block", "bottom", "box", "buttons", "column", "container", "content", "header", "holder", "icons", "inner", "item", "items", "label", "left",
+    "link", "links", "list", "main", "outer", "panel", "right", "section", "slot", "text", "title", "top", "unit", "wrap", "wrapper",
+}
+
+# a quote means something only where the value of an attribute begins; no alternative can match in two ways
+_REST = r"(?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?)*+"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b.*?(?:</(?P=raw)\s*>|\Z)|<!\[CDATA\[|<[!?][^>]*>?"
-    r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/]){_REST}(?<=/)>|<(?P<raw>{RAW})(?=[\s/>]).*?(?:</(?P=raw)\s*>|\Z)|<!\[CDATA\[|<[!?][^>]*>?"
+    rf"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>{_REST})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+
+
+def _hint(name: str) -> bool:
+    """A class name that is a hint, ends with one, or starts with one and only goes on to place it."""
+    words = re.split(r"[_\-:]+", name)
+    return words[-1] in HINTS or words[0] in HINTS and LAYOUT.issuperset(words[1:])
 
 
 def _dropped(name: str, rest: str, in_article: bool) -> bool:
@@ -64,8 +78,7 @@ def _dropped(name: str, rest: str, in_article: bool) -> bool:
         return True
     if not rest or name in ("html", "body", "main"):
         return False
-    words = {w for found in _ATTRIBUTE.findall(rest) for w in re.split(r"[\s_\-:]+", "".join(found).lower())}
-    return not words.isdisjoint(HINTS)
+    return any(_hint(w) for found in _ATTRIBUTE.findall(rest) for w in "".join(found).lower().split())
 
 
 class _Open:

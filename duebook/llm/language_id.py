@@ -4,6 +4,9 @@ For every language l, and for 'und' (no language known here):
 
     log P(l | all) = log P(text | l) + log P(declared | l) + log P(suffix | l) + log P(l | host)
 
+The languages are those that at least ``LEAST_TEXTS`` distinct texts of the whole table declare, by a code of two or
+three letters.
+
 * ``text``: letter trigrams, hashed, without those of one repeated letter; their frequencies are fitted on at most ``SAMPLE`` labelled
   rows per language (a documented bound, chosen by hash).  Sampled texts that the trigrams found in ``COMMON`` of their
   label's texts explain no better than chance are mislabelled or noise and leave the sample.  'und' is uniform.  The mean over a text counts
@@ -19,13 +22,11 @@ hosts.  A document is rejected when 'und' wins or no language reaches ``MIN_POST
 
 Edge cases: a null or empty text, or one without letters or of one letter only, has no text evidence for a language
 and is rejected; missing declarations, suffixes and hosts give no evidence; repeated rows are judged
-alike; extra columns are kept in the struct ``doc``; with no labelled row all texts are 'und'.
+alike; extra columns are kept in the struct ``doc``; with no known language all texts are 'und'.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
@@ -34,8 +35,11 @@ from pyspark.sql import functions as F
 from duebook.llm.shared import table
 from duebook.session import materialize
 
-LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
+# codes that stand for no language
+NO_LANGUAGE = (UNKNOWN, "mul", "mis", "zxx")
+# a language is known if so many distinct texts declare it
+LEAST_TEXTS = 10
 SAMPLE = 400
 SHARES = 16
 BUCKETS = 1 << 13
@@ -61,9 +65,17 @@ def trigrams(text: str | None) -> np.ndarray:
     return ((mixed ^ (mixed >> 15)) & (BUCKETS - 1))[middle]
 
 
-def fit(docs: DataFrame, languages=LANGUAGES, sample: int = SAMPLE) -> np.ndarray:
+def declared_languages(docs: DataFrame, least: int = LEAST_TEXTS) -> list[str]:
+    """Codes that at least ``least`` distinct texts declare; there are fewer than 27^3 codes of three letters."""
+    coded = docs.filter(F.col("declared").rlike("^[a-z]{2,3}$") & ~F.col("declared").isin(*NO_LANGUAGE) & (F.char_length("text") > 0))
+    counts = coded.select("declared", F.xxhash64("text").alias("key")).distinct().groupBy("declared").count()
+    return sorted(r["declared"] for r in counts.filter(F.col("count") >= least).select("declared").collect())
+
+
+def fit(docs: DataFrame, languages: list[str], sample: int = SAMPLE) -> np.ndarray:
     """log P(bucket | language), one row per language and a last one for 'und'."""
-    labelled = docs.filter(F.col("declared").isin(*languages) & F.col("text").isNotNull())
+    named = F.col("declared").isin(*languages) if languages else F.lit(False)
+    labelled = docs.filter(named & F.col("text").isNotNull())
     order = F.xxhash64("text")
     ranked = labelled.select("declared", order.alias("key")).distinct()
     # a hot language is ranked in ``SHARES`` first, so the last task of it reads at most SHARES x sample rows
@@ -130,7 +142,7 @@ def _add(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
-def identify(docs: DataFrame, text: Column, declared: Column, url: Column, languages=LANGUAGES, min_posterior: float = MIN_POSTERIOR) -> DataFrame:
+def identify(docs: DataFrame, text: Column, declared: Column, url: Column, languages: list[str] | None = None, min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     """Each row of ``docs`` as a struct ``doc``, with language, posterior, text_language and kept."""
     spark = docs.sparkSession
     suffix, domain, host = _evidence_of(url)
@@ -143,6 +155,7 @@ def identify(docs: DataFrame, text: Column, declared: Column, url: Column, langu
         domain.alias("domain"),
         host.alias("host"),
     )
+    languages = declared_languages(rows) if languages is None else list(languages)
     classes = [*languages, UNKNOWN]
     # languages x buckets numbers, whatever the corpus
     weights = spark.sparkContext.broadcast(fit(rows, languages))
@@ -235,10 +248,4 @@ def query_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.page_id", "doc.url", "text_language", "language", "posterior", "kept")
 
 
-def log_share(counts: list[float], parent: list[float]) -> list[float]:
-    """The smoothing of one level, for tests."""
-    n = sum(counts)
-    return [math.log((c + STRENGTH * p) / (n + STRENGTH)) for c, p in zip(counts, parent, strict=True)]
-
-
 SQL = None

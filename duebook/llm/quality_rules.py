@@ -163,7 +163,7 @@ hosts as (select host, count(distinct text) as documents from docs group by host
 common as (
   select l.host, l.norm from full_lines l join docs d on l.doc_id = d.doc_id join hosts h on l.host = h.host
   group by l.host, l.norm, h.documents
-  having count(distinct d.text) > 20 and count(distinct d.text) > 0.05 * h.documents
+  having count(distinct d.text) > 20 and (count(distinct d.text) > 1000 or count(distinct d.text) > 0.05 * h.documents)
 ), removed as (
   select doc_id, sum(length(line)) as n from full_lines semi join common on full_lines.host = common.host and full_lines.norm = common.norm
   group by doc_id

@@ -55,8 +55,10 @@ def with_package(query: Callable) -> Callable:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: with_package(module.query) for name, module in MODULES.items()}
     found["language_of_pages"] = with_package(language_id.query_pages)
+    found["chat_attachments"] = with_package(chat_format.query_attachments)
     return found
 
 
 def all_statements() -> dict[str, str]:
-    return {name: module.SQL for name, module in MODULES.items() if module.SQL}
+    found = {name: module.SQL for name, module in MODULES.items() if module.SQL}
+    return found | {"chat_attachments": chat_format.ATTACHMENTS_SQL}
