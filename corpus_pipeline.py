@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on every row that the stage before kept, and is
 written and read again before the next.  All but the last return the columns of ``documents``.
+
+Edge cases, the same in every stage: a null or empty text is rejected by the first stage; a null ``doc_id`` stays a
+document of its own until the near duplicates, where equal rows become one; repeated rows are one document there, and
+equal ones before; a text of any length is worked on whole; extra columns, also ones named like those of an operator,
+pass through all stages but the last; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import functions as F
 from duebook.llm import decontaminate, language_id, line_dedup, ngram_join, packing
 from duebook.llm.queries import with_package
 from duebook.llm.shared import table
-from duebook.session import materialize
+from duebook.session import discard, materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +66,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
