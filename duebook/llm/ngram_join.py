@@ -6,14 +6,17 @@
    first, and by hash within a level; every document uses the same order.
 2. A set that shares ``l`` shingles must do so within the first ``n - ceil(t n) + l`` shingles of
    both sets.  Each document takes the ``l`` among 1 to ``MAX_MATCHES`` times ``n // SHARE + 1`` for
-   which its estimated cost, list entries read plus candidates verified, is least, and posts
-   that prefix.
+   which its estimated cost, list entries read plus candidates compared over whole sets, is least,
+   and posts that prefix: the shortest one where its shingles are rare, a longer one where the
+   sketch shows more occurrences than a counter has by chance.
 3. Postings are grouped by shingle and sorted by set size; a group is cut where the next size is
    too large for the one before.  The first class of a stretch is its pivot; the others
    join the pivot's group.  Groups grow with the postings, not with their pairs.  A class
    with fewer shared postings than its least ``l`` asks for has no partner and leaves.
 4. Inside its groups a class brings its prefix first: candidates share ``min(l_a, l_b)`` of its
    shingles and pass the length filter.  Classes without a candidate go no further.
+   Texts are exchanged for this only if a filter of fixed size (``FILTER_BITS``) may hold them; what it
+   lets through by mistake leaves in the join.
 5. The others come with their whole sets, and each pair is verified in one of its groups only.
    A large group is cut into blocks whose pairs are separate tasks' work.  A group
    returns a spanning forest of its links and link counts, never all its pairs.
@@ -31,20 +34,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.llm.shared import SPACED_WORDS, table
-from duebook.session import materialize
+from duebook.session import discard, materialize
 
 WORDS = 4
 PERCENT = 85
 SKETCH_BITS = 18
 CHUNK = 4096
-SHARE = 16
+SHARE = 32
 MAX_MATCHES = 3
-VERIFY_COST = 4.0
+# bits of the filter that keeps texts without a partner out of the second exchange, whatever the corpus
+FILTER_BITS = 27
 BLOCK_SHINGLES = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -107,7 +112,8 @@ class Order:
     def __init__(self, sketch: np.ndarray, percent: int):
         mean = max(1.0, float(sketch.mean()))
         self.level = np.floor(np.log2(np.maximum(sketch / mean, 1.0))).astype(np.int8)
-        self.expected = np.maximum(sketch - 2 * mean, 0.0)
+        # a counter is shared by rare shingles, whose number varies by the root of its mean
+        self.expected = np.maximum(sketch - mean - 4 * np.sqrt(mean), 0.0)
         self.mask = np.uint64(len(sketch) - 1)
         self.percent = percent
 
@@ -125,7 +131,8 @@ class Order:
         best, matches = None, 1
         for times in range(1, MAX_MATCHES + 1):
             m = min(needed, times * (n // SHARE + 1))
-            cost = read[base + m - 1] + VERIFY_COST * read[base + m - 1] / m
+            # list entries read, and candidates, each of which is compared over a whole set
+            cost = read[base + m - 1] * (1 + n / m)
             if best is None or cost < best:
                 best, matches = cost, m
         return found, matches, base + matches
@@ -419,6 +426,36 @@ def _verified(percent: int):
     return _by_group(work, whole=True)
 
 
+def _filter_of(hashes: DataFrame) -> np.ndarray:
+    """Bytes of a bitmap with a set bit for each of two parts of every hash."""
+    part = F.explode(F.array(*[F.pmod(F.shiftright("hash", shift), F.lit(1 << FILTER_BITS)) for shift in (0, 32)])).alias("bit")
+    # an aggregated bitmap has 2^15 bits
+    rows = (
+        hashes.select(part)
+        .groupBy(F.shiftright("bit", 15).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+        .collect()
+    )
+    found = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for row in rows:
+        bits = np.frombuffer(row["bits"], np.uint8)
+        found[row["bucket"] * len(bits) :][: len(bits)] = bits
+    return found
+
+
+def _may_hold(shared):
+    @F.pandas_udf("boolean")
+    def test(hashes: pd.Series) -> pd.Series:
+        bits, values = shared.value, hashes.to_numpy(np.int64)
+        found = np.ones(len(values), bool)
+        for shift in (0, 32):
+            at = (values >> shift) & ((1 << FILTER_BITS) - 1)
+            found &= (bits[at >> 3] >> (at & 7)).astype(np.uint8) & 1 == 1
+        return pd.Series(found)
+
+    return test
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge (a, b); the root is the least node it reaches."""
     edges = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct()
@@ -431,7 +468,8 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: a node and its smaller neighbours go to the least of them
         lowest = large.groupBy("node").agg(F.min("root").alias("low"))
         small = large.join(lowest, "node").filter(F.col("root") != F.col("low")).select(F.col("root").alias("node"), F.col("low").alias("root"))
-        stars = materialize(small.unionByName(lowest.withColumnRenamed("low", "root")).distinct())
+        last, stars = stars, materialize(small.unionByName(lowest.withColumnRenamed("low", "root")).distinct())
+        discard(last)
         state = stars.agg(F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
         if state == before:
             return stars
@@ -471,7 +509,9 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"), F.count("*").alias("copies"))
     )
     wanted = groups.join(classes, "class").select("class", "copies", "groups", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
-    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
+    wanted = materialize(wanted)
+    held = spark.sparkContext.broadcast(_filter_of(wanted.select(F.col("w_hash").alias("hash"))))
+    found = texts.filter(_may_hold(held)("text_hash")).join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
     stored = materialize(found.select("text", "class", "copies", "groups").mapInArrow(_sets(order, words), _SETS))
     key = ["pivot", "low", "high"]
     placed = _placed(stored).repartition(*key).sortWithinPartitions(*key).mapInArrow(_hopeful(percent), _RESULT)
@@ -486,6 +526,8 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         .mapInArrow(_verified(percent), _RESULT)
         .select("class", "other", "links")
     )
+    # nothing reads these any more
+    discard(posted, wanted, stored, hopeful)
     stars = components(linked.filter(F.col("other").isNotNull()).select(F.col("class").alias("a"), F.col("other").alias("b")))
     links = linked.filter(F.col("other").isNull()).groupBy("class").agg(F.sum("links").alias("links"))
 
