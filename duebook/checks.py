@@ -546,16 +546,8 @@ def due_cancelled_charges(vault):
 @on_vault
 def json_segments(vault):
     rows = book.json_segments(parse_documents(vault["booking_runs"]))
-    return rows.select(
-        "bseg_booking_execution_id",
-        "bseg_booking_created",
-        "aufnr",
-        "mwskz",
-        "newbs",
-        "newko",
-        "xblnr",
-        F.array_join("related_aggregate_ids", ",").alias("related"),
-    )
+    related = F.array_join("related_aggregate_ids", ",").alias("related")
+    return rows.select(*[c for c in rows.columns if c not in ("position", "related_aggregate_ids")], related)
 
 
 @on_vault

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.session import materialize
+from duebook.sources.documents import SEGMENT_FIELDS
 from duebook.sources.vault import Vault, schema_of
 
 RAW_TABLES = ["customer", "orders", "lineitem", "events"]
@@ -33,6 +34,13 @@ _PREFIX = (
     " when 3 then 'BR_MAN-' else 'BR_OTHER-' end"
 )
 _LINE_PREFIX = _PREFIX.replace("o_orderkey", "l_orderkey")
+# a run may hold a second document, whose number other runs use as well
+_SHARED = "concat('BR_TRPC-S', cast({key} - {key} % 8 as string))"
+_DOCUMENT = f"case when second = 1 then {_SHARED.format(key='o_orderkey')} else concat({_PREFIX}, cast(o_orderkey as string)) end"
+_LINE_DOCUMENT = (
+    f"case when l_orderkey % 3 <> 1 and l_partkey % 2 = 0 then {_SHARED.format(key='l_orderkey')}"
+    f" else concat({_LINE_PREFIX}, cast(l_orderkey as string)) end"
+)
 _INDICATOR = """case l_linenumber + (l_suppkey % 8)
   when 1 then 'TaxIncludedAmount' when 2 then 'VAT' when 3 then 'TaxExcludedAmount - energyTax.Amount'
   when 4 then 'ELECTRICITYTAX' when 5 then 'ac.TaxIncludedAmount' when 6 then 'VATExcludedAmount - ELECTRICITYTAX'
@@ -48,22 +56,34 @@ LEDGER_ROWS: dict[str, str] = {
     case when o_orderkey % 31 = 0 then 1 else 0 end as no_document
   from {orders}""",
     "ledger_segments": f"""
-  select o_orderkey as run_id, bs as newbs, concat({_PREFIX}, cast(o_orderkey as string)) as xblnr,
-    case when bs = '40' then '4000' when o_orderkey % 3 = 0 then '5000' else null end as newko,
+  select o_orderkey as run_id, bs as newbs, {_DOCUMENT} as xblnr,
+    case when bs = '40' or o_orderkey % 3 = 1 then '4000' when o_orderkey % 3 = 0 then '5000' else null end as newko,
     case o_orderkey % 4 when 0 then '11' when 1 then '1A' when 2 then '5W' else 'ZZ' end as mwskz,
     concat('F', cast(o_orderkey % 7 as string)) as aufnr,
+    concat('K', cast(o_orderkey % 9 as string)) as key,
+    case when o_orderkey % 5 = 0 then '/' else concat('G', cast(o_orderkey % 5 as string)) end as gsber,
+    case when o_orderkey % 6 = 0 then null else concat('C', cast(o_orderkey % 6 as string)) end as kostl,
+    case when second = 1 then '200' else '100' end as newbk,
+    concat('R', cast(o_orderkey % 8 as string)) as prced, concat('order, "', cast(o_orderkey as string), '"') as sgtxt,
+    case when o_orderkey % 10 = 0 then concat('V', cast(o_orderkey as string)) end as vbund,
+    replace(cast(cast(cast(round(o_totalprice * 50) as decimal(20,2)) * 0.01 as decimal(20,2)) as string), '.', ',') as wrbed,
+    case when o_orderkey % 2 = 0 then 'X' else '/' end as xstba, concat('T', cast(o_orderkey % 12 as string)) as zterm,
+    concat('A', cast(o_orderkey as string), bs) as zuonr, case when second = 1 then 'S' end as psegment,
     concat('A', cast(o_orderkey as string)) as agg_1,
     case when o_orderkey % 6 = 0 then null else concat('A', cast(o_orderkey + 1 as string)) end as agg_2
-  from {{orders}} join (select '40' as bs union all select '50' as bs) sides on true""",
+  from {{orders}} join (select '40' as bs union all select '50' as bs) sides on true
+    join (select 0 as second union all select 1 as second) documents on second = 0 or o_orderkey % 3 <> 1""",
     "ledger_headers": f"""
-  select o_orderkey as run_id, concat({_PREFIX}, cast(o_orderkey as string)) as xblnr, 'ED' as ba, '100' as bukrs,
-    cast(o_orderdate + interval 8462 days as date) as budat, cast(o_orderdate + interval 8461 days as date) as beldat
-  from {{orders}} where o_orderkey % 17 <> 0""",
+  select o_orderkey as run_id, {_DOCUMENT} as xblnr, 'ED' as ba, '100' as bukrs,
+    cast(o_orderdate + interval 8462 days + interval 1 day * second as date) as budat,
+    cast(o_orderdate + interval 8461 days as date) as beldat
+  from {{orders}} join (select 0 as second union all select 1 as second) documents on second = 0 or o_orderkey % 6 in (0, 2, 3)
+  where o_orderkey % 17 <> 0""",
     "ledger_raw": f"""
   select l_orderkey as run_id, l_linenumber, l_partkey, l_suppkey,
-    concat({_LINE_PREFIX}, cast(l_orderkey as string)) as xblnr,
+    {_LINE_DOCUMENT} as xblnr,
     case when l_linenumber % 2 = 0 then '40' else '50' end as newbs,
-    case when l_linenumber % 2 = 0 then '4000' when l_orderkey % 3 = 0 then '5000' else null end as newko,
+    case when l_linenumber % 2 = 0 then case when l_suppkey % 5 = 0 then '4100' else '4000' end when l_orderkey % 3 = 0 then '5000' when l_orderkey % 3 = 1 then '4000' else null end as newko,
     case when l_suppkey % 3 = 0 then '/' else '11' end as mwskz,
     {_INDICATOR} as amount_calculation,
     case when l_linenumber % 5 = 0 then concat('A', cast(l_orderkey + 2 as string))
@@ -73,7 +93,7 @@ LEDGER_ROWS: dict[str, str] = {
   from {{lineitem}}""",
     "ledger_tax": f"""
   select l_orderkey as run_id, l_linenumber, l_partkey, l_suppkey,
-    concat({_LINE_PREFIX}, cast(l_orderkey as string)) as xblnr,
+    {_LINE_DOCUMENT} as xblnr,
     case when l_linenumber % 2 = 0 then '40' else '50' end as bs,
     case l_suppkey % 4 when 0 then '11' when 1 then '2B' when 2 then '8A' else 'ZZ' end as mwskz,
     replace(cast(cast(cast(round(l_extendedprice * l_tax * 100) as decimal(20,2)) * 0.01 as decimal(20,2)) as string),
@@ -351,9 +371,7 @@ def booking_runs(spark: SparkSession, folder: str) -> DataFrame:
 
     segments = gather(
         rows("ledger_segments"),
-        F.struct(
-            "xblnr", "newbs", "newko", "mwskz", "aufnr", F.array_compact(F.array("agg_1", "agg_2")).alias("relatedAggregateIds")
-        ),
+        F.struct(*SEGMENT_FIELDS, F.array_compact(F.array("agg_1", "agg_2")).alias("relatedAggregateIds")),
         "bbseg",
     )
     headers = gather(

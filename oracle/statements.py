@@ -483,6 +483,18 @@ PARTS |= {
             "budat": "h.budat",
             "bukrs": "h.bukrs",
             "beldat": "h.beldat",
+            "key": "s.key",
+            "gsber": "s.gsber",
+            "kostl": "s.kostl",
+            "newbk": "s.newbk",
+            "prced": "s.prced",
+            "sgtxt": "s.sgtxt",
+            "vbund": "s.vbund",
+            "xstba": "s.xstba",
+            "zterm": "s.zterm",
+            "zuonr": "s.zuonr",
+            "psegment": "s.psegment",
+            "wrbed_total": "s.wrbed",
             "aufnr": "s.aufnr",
             "mwskz": "s.mwskz",
             "newbs": "s.newbs",
@@ -1016,8 +1028,8 @@ STATEMENTS: dict[str, str] = {
   where aggregateid is null and exists (select 1 from due_patterns where c.glid like p)""",
     "numbered_cancelled_balances": "select * from cancelled_balances",
     "due_cancelled_charges": "select * from settled",
-    "json_segments": f"""select run_id as bseg_booking_execution_id, {berlin('created')} as bseg_booking_created, aufnr, mwskz,
-    newbs, newko, xblnr, agg_1 || coalesce(',' || agg_2, '') as related from ledger_segments join kept_runs on id = run_id""",
+    "json_segments": f"""select run_id as bseg_booking_execution_id, {berlin('created')} as bseg_booking_created, key, aufnr, gsber, kostl, mwskz,
+    newbk, newbs, newko, prced, sgtxt, vbund, wrbed, xblnr, xstba, zterm, zuonr, psegment, agg_1 || coalesce(',' || agg_2, '') as related from ledger_segments join kept_runs on id = run_id""",
     "json_headers": f"""select ba, budat, bukrs, xblnr as xbelnr, beldat, run_id as booking_execution_id,
     {berlin('created')} as booking_created from ledger_headers join kept_runs on id = run_id""",
     "json_raw_segments": """select wrbed, xblnr as xbelnr, newbs, newko, mwskz as mwskz2, amount_calculation, aggregate_id,

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duebook.plans import balances as bal
+from duebook.operators.joins import member_join
 from duebook.plans import bookings as book
 from duebook.plans import build as b
 from duebook.plans import charges as chg
@@ -16,6 +17,7 @@ from duebook.plans import incremental as inc
 from duebook.plans import open_items as items
 from duebook.plans import overpayments as over
 from duebook.plans.amount_rules import booked_amount
+from duebook.session import materialize
 from duebook.sources.documents import MalformedDocuments, malformed_runs, parse_documents, without_malformed
 from duebook.sources.lookups import BASE, WITH_VAT_ACCOUNTS, ClientLookups, client_lookups
 
@@ -362,6 +364,25 @@ def test_documents_are_parsed_once(vault, capsys):
     assert "from_json" not in capsys.readouterr().out
 
 
+@pytest.mark.parametrize("left, right", [("bseg_booking_execution_id", "booking_execution_id"), ("xblnr", "xbelnr"), ("newko", "newko"), ("newbs", "newbs")])
+def test_the_sample_shows_a_dropped_join_key(spark, left, right):
+    """Without any one key of the raw segments the sample gives other bookings, so a check on it means something."""
+    from duebook.sources.sample_vault import sample_vault
+
+    documents = materialize(parse_documents(sample_vault(spark, "/root/testdata/sf0.001")["booking_runs"]))
+    segments = book.json_segments(documents).withColumn("position", F.monotonically_increasing_id())
+    segments = materialize(segments.filter("newko is not null"))
+    raw = book.json_raw_segments(documents).filter("newko is not null")
+    def hits(segments, raw):
+        on = {"bseg_booking_execution_id": "raw_run", "xblnr": "raw_xblnr", "newko": "raw_newko", "newbs": "raw_newbs"}
+        renamed = {"booking_execution_id": "raw_run", "xbelnr": "raw_xblnr", "newko": "raw_newko", "newbs": "raw_newbs"}
+        return member_join(segments, raw.withColumnsRenamed(renamed), ["position"], on, "related_aggregate_ids", "aggregate_id").count()
+
+    whole = hits(segments, raw)
+    same = F.lit(0).cast("long") if left.startswith("bseg") else F.lit("same")
+    assert hits(segments.withColumn(left, same), raw.withColumn(right, same)) > whole > 0
+
+
 def test_malformed_documents_stop_or_go_aside(vault, spark, rows, tmp_path):
     v = vault(booking_runs=[run(1), run(2, DOCUMENT[:-5]), run(3, "[]x"), run(4, DOCUMENT[:-5], deleted=1), run(5, summary=None), run(6, "{}")])
     documents = parse_documents(v["booking_runs"])
