@@ -99,7 +99,7 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
 
 
 def set_class(found: np.ndarray) -> bytes:
-    """128 bits that stand for a set, its size included."""
+    """128 bits that stand for a set, its size included; the first 64 are its number."""
     with np.errstate(over="ignore"):
         one = _mix(found + np.uint64(len(found))).sum(dtype=np.uint64)
         two = _mix(found * _ODD + np.uint64(1)).sum(dtype=np.uint64)
@@ -138,8 +138,13 @@ class Order:
         return found, matches, base + matches
 
 
-_PROFILE = "doc_id long, text_hash long, class binary, n long, chunk int, counts binary"
-_PROFILE_ARROW = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
+_PROFILE = "doc_id long, text_hash long, class binary, number long, n long, chunk int, counts binary"
+_PROFILE_ARROW = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+
+def _numbers(classes: list[bytes | None]) -> pa.Array:
+    """The first half of each class: short for the many postings; classes of one number come apart where their sets are read."""
+    return pa.array([None if c is None else int.from_bytes(c[:8], "little", signed=True) for c in classes], pa.int64())
 
 
 def _profile(words: int):
@@ -147,7 +152,7 @@ def _profile(words: int):
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["doc_id", "text_hash", "class", "n", "chunk", "counts"]
+        names = ["doc_id", "text_hash", "class", "number", "n", "chunk", "counts"]
         for batch in rows:
             classes, sizes = [], []
             for text in batch.column(2):
@@ -156,12 +161,12 @@ def _profile(words: int):
                 classes.append(set_class(found) if len(found) else None)
                 np.add.at(sketch, (found & np.uint64(len(sketch) - 1)).astype(np.int64), 1)
             n = batch.num_rows
-            columns = [batch.column(0), batch.column(1), pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            columns = [batch.column(0), batch.column(1), pa.array(classes, pa.binary()), _numbers(classes), pa.array(sizes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         if sketch.any():
             parts = sketch.reshape(-1, CHUNK)
             n = len(parts)
-            columns = [pa.nulls(n, t) for t in _PROFILE_ARROW[:4]] + [pa.array(range(n), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())]
+            columns = [pa.nulls(n, t) for t in _PROFILE_ARROW[:5]] + [pa.array(range(n), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -186,7 +191,7 @@ def _sketch(profiles: DataFrame) -> np.ndarray:
 
 
 def _postings(order, words: int):
-    """(shingle, class, n) for the prefix of every set."""
+    """(shingle, number, n) for the prefix of every set."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrange = order.value.arrange
@@ -197,8 +202,8 @@ def _postings(order, words: int):
                 counts = [len(t) for t in tokens]
                 flat = np.concatenate(tokens).view(np.int64)
                 owner = pa.array(np.repeat(np.arange(len(classes)), counts))
-                columns = [pa.array(flat), pa.array(classes, pa.binary()).take(owner), pa.array(np.repeat(np.array(sizes, np.int64), counts))]
-                return pa.RecordBatch.from_arrays(columns, names=["token", "class", "n"])
+                columns = [pa.array(flat), _numbers(classes).take(owner), pa.array(np.repeat(np.array(sizes, np.int32), counts))]
+                return pa.RecordBatch.from_arrays(columns, names=["token", "number", "n"])
 
             for text in batch.column(0):
                 found = shingles(text.as_py(), words)
@@ -243,13 +248,13 @@ def _pivots(percent: int):
                     last = c
                 size = n
             if out:
-                columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), [pa.binary(), pa.binary(), pa.int64()], strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["pivot", "class", "n"])
+                columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32()], strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["pivot", "number", "n"])
 
     return run
 
 
-_SETS = "class binary, copies long, groups array<struct<pivot:binary,blocks:int>>, n int, matches int, front binary, rest binary"
+_SETS = "class binary, copies long, groups array<struct<pivot:long,blocks:int>>, n int, matches int, front binary, rest binary"
 
 
 def _sets(order, words: int):
@@ -305,14 +310,14 @@ def _shared(lists: list[np.ndarray], wanted: np.ndarray | None = None):
     return counts
 
 
-def candidates(pivot: bytes, crossed: bool, members: list[tuple], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+def candidates(pivot: int, crossed: bool, members: list[tuple], percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """(a, others) of the pairs that this group has to verify.
 
     A member is (class, block, n, matches, pivots, front, ...).  ``crossed``: only pairs of
     different blocks.  Pairs that share an earlier pivot are verified there.
     """
     blocks, sizes, matches = (np.array([x[i] for x in members], np.int64) for i in (1, 2, 3))
-    names: dict[bytes, int] = {}
+    names: dict[int, int] = {}
     earlier = [np.array([names.setdefault(p, len(names)) for p in x[4] if p < pivot], np.uint64) for x in members]
     common_front = _shared([x[5] for x in members])
     common_earlier = _shared(earlier) if names else None
@@ -331,7 +336,7 @@ def candidates(pivot: bytes, crossed: bool, members: list[tuple], percent: int)
             yield a, others
 
 
-def compare(pivot: bytes, crossed: bool, members: list[tuple], percent: int) -> tuple[dict[int, int], list[tuple[int, int]]]:
+def compare(pivot: int, crossed: bool, members: list[tuple], percent: int) -> tuple[dict[int, int], list[tuple[int, int]]]:
     """Link counts and a spanning forest of the links; members end with (..., rest, copies)."""
     links: dict[int, int] = {}
     forest: list[tuple[int, int]] = []
@@ -363,8 +368,8 @@ def compare(pivot: bytes, crossed: bool, members: list[tuple], percent: int) ->
 
 
 _NAMES = ["pivot", "low", "high", "class", "other", "links"]
-_RESULT = "pivot binary, low int, high int, class binary, other binary, links long"
-_RESULT_ARROW = [pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
+_RESULT = "pivot long, low int, high int, class binary, other binary, links long"
+_RESULT_ARROW = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
 
 
 def _by_group(work, whole: bool):
@@ -485,30 +490,30 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     profiles = materialize(texts.mapInArrow(_profile(words), _PROFILE))
-    sets = profiles.filter(F.col("chunk").isNull()).select("doc_id", "text_hash", "class", "n")
+    sets = profiles.filter(F.col("chunk").isNull()).select("doc_id", "text_hash", "class", "number", "n")
     # a fixed number of counters
     order = spark.sparkContext.broadcast(Order(_sketch(profiles), percent))
 
-    postings = texts.select("text").mapInArrow(_postings(order, words), "token long, class binary, n long")
-    sorted_ = postings.repartition("token").sortWithinPartitions("token", "n", "class")
-    grouped = sorted_.mapInArrow(_pivots(percent), "pivot binary, class binary, n long")
-    posted = materialize(grouped.groupBy("pivot", "class", "n").agg(F.count("*").alias("shared")))
+    postings = texts.select("text").mapInArrow(_postings(order, words), "token long, number long, n int")
+    sorted_ = postings.repartition("token").sortWithinPartitions("token", "n", "number")
+    grouped = sorted_.mapInArrow(_pivots(percent), "pivot long, number long, n int")
+    posted = materialize(grouped.groupBy("pivot", "number", "n").agg(F.count("*").alias("shared")))
     # the least l of any partner: that of a set of the least size which can be linked
     least = F.floor(F.ceil(F.col("n") * percent / 100) / SHARE) + 1
     least = F.least(least, F.ceil(F.ceil(F.col("n") * percent / 100) * percent / 100))
-    able = posted.groupBy("class", "n").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= least).select("class")
-    left = posted.join(able, "class", "left_semi")
+    able = posted.groupBy("number", "n").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= least).select("number")
+    left = posted.join(able, "number", "left_semi")
     pairs = left.groupBy("pivot").agg(F.count("*").alias("classes")).filter("classes > 1").select("pivot")
     members = left.join(pairs, "pivot", "left_semi")
     blocks = members.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    groups = members.join(blocks, "pivot").groupBy("class").agg(F.collect_list(F.struct("pivot", "blocks")).alias("groups"))
+    groups = members.join(blocks, "pivot").groupBy("number").agg(F.collect_list(F.struct("pivot", "blocks")).alias("groups"))
 
     classes = (
         sets.filter("n > 0")
-        .groupBy("class")
+        .groupBy("class", "number")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"), F.count("*").alias("copies"))
     )
-    wanted = groups.join(classes, "class").select("class", "copies", "groups", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
+    wanted = groups.join(classes, "number").select("class", "copies", "groups", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
     wanted = materialize(wanted)
     held = spark.sparkContext.broadcast(_filter_of(wanted.select(F.col("w_hash").alias("hash"))))
     found = texts.filter(_may_hold(held)("text_hash")).join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
