@@ -39,7 +39,7 @@ UNKNOWN = "und"
 # codes that stand for no language
 NO_LANGUAGE = (UNKNOWN, "mul", "mis", "zxx")
 # a language is known if so many distinct texts declare it
-LEAST_TEXTS = 10
+LEAST_TEXTS = 5
 SAMPLE = 400
 SHARES = 16
 BUCKETS = 1 << 13

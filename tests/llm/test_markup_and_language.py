@@ -101,14 +101,14 @@ def test_languages_come_from_the_declarations(shipped):
             text = " ".join("".join(r.choice(parts) for _ in range(r.randint(1, 3))) for _ in range(60))
             # one in ten is declared wrongly
             more.append((10_000 * (k + 1) + i, text, f"{lang.upper()}-x" if i % 10 else "en", "new.host.example", 1))
-    more.append((50_000, "unb ekan nt", "qq", "h", 1))
+    more += [(50_000 + i, f"unb ekan nt{i}", "qq", "h", 1) for i in range(4)]
     found = language_id.of_documents(given.unionByName(shipped.createDataFrame(more, SCHEMA))).select("doc.doc_id", "language", "kept").collect()
     judged = {r["doc_id"]: r for r in found}
     for k, lang in enumerate(syllables):
         own = [judged[10_000 * (k + 1) + i] for i in range(30)]
         assert all(row["language"] == lang and row["kept"] for row in own)
     assert sum(row["kept"] for row in found if row["doc_id"] < 10_000) >= 0.99 * given.count()
-    assert language_id.of_documents(given.limit(5)).filter("kept").count() == 0
+    assert language_id.of_documents(given.limit(3)).filter("kept").count() == 0
 
 
 def test_posterior_equals_a_plain_sum(shipped):
