@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import CachedEncoder, batches, table
+from duebook.llm.shared import CachedEncoder, batches, release_memory, table
 from duebook.session import materialize
 
 CAPACITY = 4096
@@ -60,6 +60,8 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = E
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
                 arrays = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "local_rank"])
+        del encoder
+        release_memory()
 
     return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECES))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import tempfile
@@ -96,6 +98,14 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return found
 
 
+def release_memory() -> None:
+    """Give memory that the allocator keeps back to the system, where the C library can; idle workers hold it otherwise."""
+    gc.collect()
+    library = ctypes.CDLL(None)
+    if hasattr(library, "malloc_trim"):
+        library.malloc_trim(0)
+
+
 @lru_cache(maxsize=4)
 def _library(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import CachedEncoder, batches, table
+from duebook.llm.shared import CachedEncoder, batches, release_memory, table
 from duebook.session import materialize
 
 CHUNK_BITS = 8
@@ -133,6 +133,8 @@ def _segments(path: str, end: int):
                 ends.append(n)
         if n:
             yield segment()
+        del encoder
+        release_memory()
 
     return run
 
