@@ -22,14 +22,14 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import ALNUM_WORDS, lower_ascii, table
+from duebook.llm.shared import ALNUM_WORDS, lower_ascii, release_memory, table
 
 WINDOW = 10
 BLOCK_CHARS = 8_000_000
@@ -82,6 +82,11 @@ class TestWords:
         owner = np.repeat(of_item, [len(a) + 1 for _, a in self.items])
         self.owner, self.item_ids = owner[self.order], [*known, None]
 
+    def ids_of(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of words; 0 for one that no test item has."""
+        number = self.vocabulary.get
+        return np.array([number(w, 0) for w in words], np.int32)
+
     def _find(self, part: bytes) -> int:
         """Number of the suffixes before ``part`` in their order."""
         size, data = len(part), self.sequence
@@ -136,16 +141,20 @@ class TestWords:
         n = len(ids) - self.q + 1
         if n < 1 or not len(self.grams):
             return covered
+        # only where q known words follow each other
+        known = np.concatenate((np.zeros(1, np.int32), np.cumsum(ids > 0, dtype=np.int32)))
+        begin = np.flatnonzero(known[self.q :] - known[: -self.q] == self.q)
         with np.errstate(over="ignore"):
-            h = np.zeros(n, np.uint64)
+            h = np.zeros(len(begin), np.uint64)
             for j in range(self.q):
-                h = h * np.uint64(0x9E3779B97F4A7C15) + ids[j : j + n].astype(np.uint64)
+                h *= np.uint64(0x9E3779B97F4A7C15)
+                h += ids[begin + j].astype(np.uint64)
         place = np.minimum(np.searchsorted(self.grams, h), len(self.grams) - 1)
-        begin = np.flatnonzero((self.grams[place] == h) & (ids[:n] > 0))
-        step = np.zeros(len(ids) + 1, np.int64)
+        begin = begin[self.grams[place] == h]
+        step = np.zeros(len(ids) + 1, np.int32)
         np.add.at(step, begin, 1)
         np.add.at(step, begin + self.q, -1)
-        return np.cumsum(step[:-1]) > 0
+        return np.cumsum(step[:-1], dtype=np.int32) > 0
 
 
 def suffix_array(ids: np.ndarray) -> np.ndarray:
@@ -188,13 +197,17 @@ def _narrow(ids: np.ndarray, order: np.ndarray, low: int, high: int, depth: int,
 
 def search_shard(test: TestWords, texts: list[list[bytes]]) -> list[tuple]:
     """For each document (n_words, hit positions, items, longest match, its place, its item)."""
+    return search_ids(test, [test.ids_of(words) for words in texts])
+
+
+def search_ids(test: TestWords, texts: list[np.ndarray]) -> list[tuple]:
+    """``search_shard`` for documents whose words are numbers already, four bytes each."""
     sizes = np.array([len(w) for w in texts], np.int64)
-    number = test.vocabulary.get
     # one 0 after each document keeps matches inside it
-    ids = np.zeros(int(sizes.sum()) + len(texts), np.int64)
+    ids = np.zeros(int(sizes.sum()) + len(texts), np.int32)
     starts = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
     for start, words in zip(starts, texts, strict=True):
-        ids[start : start + len(words)] = [number(w, 0) for w in words]
+        ids[start : start + len(words)] = words
     covered = test.stretches(ids)
     found: list[tuple] = [(int(n), [], set(), 0, None, None) for n in sizes]
     if not covered.any():
@@ -206,7 +219,7 @@ def search_shard(test: TestWords, texts: list[list[bytes]]) -> list[tuple]:
     short = np.where(covered[place], ids[place], 0)
     order = suffix_array(short)
     present = set(np.unique(short).tolist())
-    hit = np.zeros(len(ids) + 1, np.int64)
+    hit = np.zeros(len(ids) + 1, np.int32)
     items: dict[int, set[int]] = {}
     for part, owners in test.windows.values():
         if not present.issuperset(part.tolist()):
@@ -222,7 +235,7 @@ def search_shard(test: TestWords, texts: list[list[bytes]]) -> list[tuple]:
             np.add.at(hit, at + len(part), -1)
             for doc in np.unique(np.searchsorted(starts, at, side="right") - 1).tolist():
                 items.setdefault(doc, set()).update(owners)
-    marked = np.cumsum(hit[:-1]) > 0
+    marked = np.cumsum(hit[:-1], dtype=np.int32) > 0
     covered_docs = np.unique(np.searchsorted(starts, np.flatnonzero(covered), side="right") - 1)
     for doc in covered_docs.tolist():
         here = slice(starts[doc], starts[doc] + sizes[doc])
@@ -233,23 +246,28 @@ def search_shard(test: TestWords, texts: list[list[bytes]]) -> list[tuple]:
 
 
 def _searcher(broadcast, window: int, q: int | None) -> Callable:
-    @F.pandas_udf(_FOUND)
-    def search(texts: pd.Series) -> pd.DataFrame:
-        test = _test_words(broadcast, window, q)
+    def found(test: TestWords, texts: pd.Series) -> pd.DataFrame:
         rows: list[tuple] = []
-        shard: list[list[bytes]] = []
+        shard: list[np.ndarray] = []
         size = 0
         for text in texts:
-            shard.append(words_of(text))
+            shard.append(test.ids_of(words_of(text)))
             size += len(text) if text else 0
             if size >= SHARD_BYTES:
-                rows.extend(search_shard(test, shard))
+                rows.extend(search_ids(test, shard))
                 shard, size = [], 0
-        rows.extend(search_shard(test, shard) if shard else [])
+        rows.extend(search_ids(test, shard) if shard else [])
         rows = [(n, hits, sorted(items), long, at, item) for n, hits, items, long, at, item in rows]
         names = ["n_words", "hits", "items", "longest", "longest_start", "longest_item"]
         return pd.DataFrame({name: pd.Series([r[i] for r in rows], dtype=object) for i, name in enumerate(names)})
 
+    @F.pandas_udf(_FOUND)
+    def search(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        test = _test_words(broadcast, window, q)
+        for texts in parts:
+            yield found(test, texts)
+        release_memory()
+
     return search
 
 

@@ -27,12 +27,14 @@ alike; extra columns are kept in the struct ``doc``; with no known language all
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import table
+from duebook.llm.shared import release_memory, table
 from duebook.session import materialize
 
 UNKNOWN = "und"
@@ -97,7 +99,8 @@ def fit(docs: DataFrame, languages: list[str], sample: int = SAMPLE) -> np.ndarr
         scores = [text_scores(t, common) for t in texts]
         return pd.Series([s[languages.index(d)] > s[-1] for d, s in zip(declared, scores, strict=True)], dtype=bool)
 
-    return _log_shares(_bucket_counts(chosen.filter(F.pandas_udf(ordinary, "boolean")("declared", "text"))), languages)
+    # stored, so that no task keeps a Python worker for this filter and one for the buckets
+    return _log_shares(_bucket_counts(materialize(chosen.filter(F.pandas_udf(ordinary, "boolean")("declared", "text")))), languages)
 
 
 def _bucket_counts(chosen: DataFrame) -> list[Row]:
@@ -160,8 +163,10 @@ def identify(docs: DataFrame, text: Column, declared: Column, url: Column, langu
     # languages x buckets numbers, whatever the corpus
     weights = spark.sparkContext.broadcast(fit(rows, languages))
 
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: text_scores(t, weights.value), na_action=None)
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            yield texts.map(lambda t: text_scores(t, weights.value), na_action=None)
+        release_memory()
 
     scored = rows.withColumn("scores", F.pandas_udf(score, "array<double>")("text"))
     keys = ["declared", "suffix", "domain", "host"]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import WHITE, lower_ascii
+from duebook.llm.shared import WHITE, lower_ascii, releasing
 from duebook.session import materialize
 
 MIN_CHARS = 40
@@ -96,7 +96,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: in
     streamed = materialize(
         lines.repartitionByRange(partitions, "h1", "h2", F.col("doc_id").desc())
         .sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "text_hash", "position")
-        .mapInArrow(_stream(min_documents), _STREAMED)
+        .mapInArrow(releasing(_stream(min_documents)), _STREAMED)
     )
     # two summaries a partition at most, so the broadcast is bounded
     borders = (
@@ -166,7 +166,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
     both = left.join(bitmaps, (F.col("left_id") == F.col("doc_id")) & (F.col("left_hash") == F.col("text_hash")))
     changed: Column = F.col("n_dropped") > 0
-    edit = F.pandas_udf(_kept_text, "string")
+    # else a filter on the edited text cuts every text a second time, in a Python worker of its own
+    edit = F.pandas_udf(_kept_text, "string").asNondeterministic()
     return both.select(
         "doc",
         "n_lines",

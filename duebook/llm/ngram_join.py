@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import SPACED_WORDS, table
+from duebook.llm.shared import SPACED_WORDS, release_memory, releasing, table
 from duebook.session import discard, materialize
 
 WORDS = 4
@@ -450,13 +450,15 @@ def _filter_of(hashes: DataFrame) -> np.ndarray:
 
 def _may_hold(shared):
     @F.pandas_udf("boolean")
-    def test(hashes: pd.Series) -> pd.Series:
-        bits, values = shared.value, hashes.to_numpy(np.int64)
-        found = np.ones(len(values), bool)
-        for shift in (0, 32):
-            at = (values >> shift) & ((1 << FILTER_BITS) - 1)
-            found &= (bits[at >> 3] >> (at & 7)).astype(np.uint8) & 1 == 1
-        return pd.Series(found)
+    def test(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for hashes in parts:
+            bits, values = shared.value, hashes.to_numpy(np.int64)
+            found = np.ones(len(values), bool)
+            for shift in (0, 32):
+                at = (values >> shift) & ((1 << FILTER_BITS) - 1)
+                found &= (bits[at >> 3] >> (at & 7)).astype(np.uint8) & 1 == 1
+            yield pd.Series(found)
+        release_memory()
 
     return test
 
@@ -489,14 +491,14 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    profiles = materialize(texts.mapInArrow(_profile(words), _PROFILE))
+    profiles = materialize(texts.mapInArrow(releasing(_profile(words)), _PROFILE))
     sets = profiles.filter(F.col("chunk").isNull()).select("doc_id", "text_hash", "class", "number", "n")
     # a fixed number of counters
     order = spark.sparkContext.broadcast(Order(_sketch(profiles), percent))
 
-    postings = texts.select("text").mapInArrow(_postings(order, words), "token long, number long, n int")
+    postings = texts.select("text").mapInArrow(releasing(_postings(order, words)), "token long, number long, n int")
     sorted_ = postings.repartition("token").sortWithinPartitions("token", "n", "number")
-    grouped = sorted_.mapInArrow(_pivots(percent), "pivot long, number long, n int")
+    grouped = sorted_.mapInArrow(releasing(_pivots(percent)), "pivot long, number long, n int")
     posted = materialize(grouped.groupBy("pivot", "number", "n").agg(F.count("*").alias("shared")))
     # the least l of any partner: that of a set of the least size which can be linked
     least = F.floor(F.ceil(F.col("n") * percent / 100) / SHARE) + 1
@@ -516,10 +518,11 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     wanted = groups.join(classes, "number").select("class", "copies", "groups", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
     wanted = materialize(wanted)
     held = spark.sparkContext.broadcast(_filter_of(wanted.select(F.col("w_hash").alias("hash"))))
-    found = texts.filter(_may_hold(held)("text_hash")).join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
-    stored = materialize(found.select("text", "class", "copies", "groups").mapInArrow(_sets(order, words), _SETS))
+    # an exchange between the filter and the sets: a task of both would keep two Python workers
+    found = texts.filter(_may_hold(held)("text_hash")).join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
+    stored = materialize(found.select("text", "class", "copies", "groups").mapInArrow(releasing(_sets(order, words)), _SETS))
     key = ["pivot", "low", "high"]
-    placed = _placed(stored).repartition(*key).sortWithinPartitions(*key).mapInArrow(_hopeful(percent), _RESULT)
+    placed = _placed(stored).repartition(*key).sortWithinPartitions(*key).mapInArrow(releasing(_hopeful(percent)), _RESULT)
     hopeful = materialize(placed.select(*key, "class", F.col("links").cast("int").alias("block")))
     # classes with a candidate come again, to those of their groups where they have it
     pivots = F.array_sort(F.transform("groups", lambda g: g["pivot"])).alias("pivots")
@@ -528,7 +531,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         .select(*key, "class", "block", "n", "matches", "pivots", "front", "rest", "copies")
         .repartition(*key)
         .sortWithinPartitions(*key)
-        .mapInArrow(_verified(percent), _RESULT)
+        .mapInArrow(releasing(_verified(percent)), _RESULT)
         .select("class", "other", "links")
     )
     # nothing reads these any more
