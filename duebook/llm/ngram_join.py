@@ -517,10 +517,12 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     )
     wanted = groups.join(classes, "number").select("class", "copies", "groups", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
     wanted = materialize(wanted)
+    discard(posted)
     held = spark.sparkContext.broadcast(_filter_of(wanted.select(F.col("w_hash").alias("hash"))))
     # an exchange between the filter and the sets: a task of both would keep two Python workers
     found = texts.filter(_may_hold(held)("text_hash")).join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
     stored = materialize(found.select("text", "class", "copies", "groups").mapInArrow(releasing(_sets(order, words)), _SETS))
+    discard(wanted)
     key = ["pivot", "low", "high"]
     placed = _placed(stored).repartition(*key).sortWithinPartitions(*key).mapInArrow(releasing(_hopeful(percent)), _RESULT)
     hopeful = materialize(placed.select(*key, "class", F.col("links").cast("int").alias("block")))
@@ -535,7 +537,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         .select("class", "other", "links")
     )
     # nothing reads these any more
-    discard(posted, wanted, stored, hopeful)
+    discard(stored, hopeful)
     stars = components(linked.filter(F.col("other").isNotNull()).select(F.col("class").alias("a"), F.col("other").alias("b")))
     links = linked.filter(F.col("other").isNull()).groupBy("class").agg(F.sum("links").alias("links"))
 
