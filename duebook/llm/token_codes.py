@@ -35,9 +35,20 @@ SEGMENT_TOKENS = 1 << 20
 END = 2
 BATCH_BYTES = 2 << 20
 
+_AT_ONCE = 4096
+_SET_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.int64)
+
 _FILE = "part int, segment int, start long, n_tokens long, doc_ids array<long>, ends array<long>, codes binary"
 
 
+def _ranks(more: np.ndarray, ranks: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Number of set bits before each place: the directory's entry, then the bytes and bits after it."""
+    block, byte = at // RANK_STEP, at >> 3
+    after = (block * (RANK_STEP // 8))[:, None] + np.arange(RANK_STEP // 8)
+    whole = np.where(after < byte[:, None], _SET_BITS[more[np.minimum(after, len(more) - 1)]], 0).sum(axis=1)
+    return ranks[block].astype(np.int64) + whole + _SET_BITS[more[byte] & ((1 << (at & 7)) - 1)]
+
+
 class Codes:
     """One encoded sequence of ids."""
 
@@ -93,6 +104,21 @@ class Codes:
             shift += self.bits
         return value
 
+    def take(self, places: np.ndarray) -> np.ndarray:
+        """The ids at many places, each by one look-up a level."""
+        at, found = np.asarray(places, np.int64), np.zeros(len(places), np.uint32)
+        rows, shift = np.arange(len(at)), 0
+        for n, chunks, more, ranks in self.levels:
+            if not len(at):
+                break
+            if at.min() < 0 or at.max() >= n:
+                raise IndexError(f"a place outside 0 to {n - 1}")
+            found[rows] |= chunks[at].astype(np.uint32) << np.uint32(shift)
+            on = more[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+            at, rows, shift = at[on], rows[on], shift + self.bits
+            at = np.concatenate([_ranks(more, ranks, at[k : k + _AT_ONCE]) for k in range(0, len(at), _AT_ONCE)] or [at])
+        return found
+
     def decode(self) -> np.ndarray:
         """All ids, level by level."""
         values = None
@@ -162,10 +188,10 @@ def _documents(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes = Codes(data)
             ids = codes.decode().astype("<u4", copy=False)
             starts = [0, *ends[:-1]]
-            for at in {*starts, *(e - 1 for e in ends)}:
-                if codes[at] != ids[at]:
-                    raise ValueError(f"id {at} of a segment differs between direct access and decoding")
-            checks = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
+            at = np.array([*starts, *(e - 1 for e in ends)], np.int64)
+            if len(wrong := at[codes.take(at) != ids[at]]):
+                raise ValueError(f"id {wrong[0]} of a segment differs between direct access and decoding")
+            checks = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
             n = len(ends)
             arrays = [pa.array([part] * n, pa.int32()), pa.array(doc_ids, pa.int64()), pa.array([start + a for a in starts], pa.int64())]
             arrays += [pa.array([b - a for a, b in zip(starts, ends, strict=True)], pa.int64()), pa.array(checks, pa.int64())]
