@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.llm.shared import CachedEncoder, batches, release_memory, table
+from duebook.llm.shared import batches, release_memory, table, worker_encoder
 from duebook.session import materialize
 
 CHUNK_BITS = 8
@@ -78,7 +78,10 @@ class Codes:
             higher = rest >> np.uint32(bits)
             more = higher > 0
             packed = np.packbits(more, bitorder="little")
-            before = np.concatenate(([0], np.cumsum(more)))[:: RANK_STEP][: len(rest) // RANK_STEP + 1].astype("<u8")
+            blocks = np.zeros((len(rest) // RANK_STEP + 1, RANK_STEP // 8), np.uint8)
+            blocks.reshape(-1)[: len(packed)] = np.bitwise_count(packed)
+            own = blocks.sum(axis=1, dtype="<u8")
+            before = np.cumsum(own, dtype="<u8") - own
             levels.append(struct.pack("<Q", len(rest)) + chunks.tobytes() + packed.tobytes() + before.tobytes())
             if not more.any():
                 return struct.pack("<HH", len(levels), bits) + b"".join(levels)
@@ -136,7 +139,7 @@ def _segments(path: str, end: int):
         from pyspark import TaskContext
 
         part, number, start = TaskContext.get().partitionId(), 0, 0
-        encoder = CachedEncoder(path)
+        encoder = worker_encoder(path)
         close = np.array([end], "<u4")
         doc_ids, ends, ids, n = [], [], [], 0
 
@@ -159,7 +162,6 @@ def _segments(path: str, end: int):
                 ends.append(n)
         if n:
             yield segment()
-        del encoder
         release_memory()
 
     return run
